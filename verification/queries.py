@@ -567,3 +567,146 @@ def cluster_totals(spark, d):
     totals = cluster.cluster_quality(assigned, LINE_NUMERIC)[0]
     scale = F.lit(1e9)
     return rounded(totals.select(*[(F.col(c) / scale).alias(c) for c in totals.columns]), 3)
+
+
+# ---- training, descriptions, plans ---------------------------------------
+
+def _train(spark, d, algorithm: str, grid: dict, cv_k: int) -> training.TrainingResult:
+    df = credit_missing(spark, d).withColumn(
+        "y", ((F.col("o_totalprice") > 250000) | (F.col("c_nationkey") % 5 == 0)).cast("int"))
+    return training.train_classifier(df, "y", CREDIT_NUMERIC, CREDIT_FACTORS, algorithm,
+                                     ["o_orderkey"], grid, cv_k)
+
+
+def _metrics(result: training.TrainingResult) -> DataFrame:
+    steps = score.score_steps(score.score_counts(result.evaluation))
+    return score.overall_metrics(steps, describe.fitted_parameters(result.model))
+
+
+@query
+def train_lr(spark, d):
+    return _metrics(_train(spark, d, "LR", {"alpha": [0, 1], "lambda": [0, 0.1]}, 2))
+
+
+@query
+def train_gbm(spark, d):
+    return _metrics(_train(spark, d, "GBM", {"ntrees": [10], "max_depth": [3, 5], "learn_rate": [0.1],
+                                             "min_rows": [5], "sample_rate": [0.8],
+                                             "col_sample_rate_per_tree": [0.8]}, 1))
+
+
+@query
+def train_rf(spark, d):
+    return _metrics(_train(spark, d, "RF", {"ntrees": [20], "max_depth": [5, 8], "sample_rate": [0.6],
+                                            "min_rows": [5]}, 1))
+
+
+@query
+def train_nb(spark, d):
+    return _metrics(_train(spark, d, "NB", {"laplace": [0.1, 1], "min_sdev": [0.001], "eps_sdev": [0]}, 2))
+
+
+@query
+def train_mlp(spark, d):
+    return _metrics(_train(spark, d, "DL", {"hidden": [[10, 10]]}, 1))
+
+
+@query
+def train_stacking(spark, d):
+    df = credit_missing(spark, d).withColumn(
+        "y", ((F.col("o_totalprice") > 250000) | (F.col("c_nationkey") % 5 == 0)).cast("int"))
+    bases = {"LR": {"alpha": [0], "lambda": [0.01]}, "NB": {"laplace": [1]},
+             "RF": {"ntrees": [10], "max_depth": [5]}}
+    return _metrics(training.train_stacking(df, "y", CREDIT_NUMERIC, CREDIT_FACTORS, bases,
+                                            ["o_orderkey"], 2))
+
+
+@query
+def train_kmeans(spark, d):
+    df = table(spark, d, "lineitem").select(*LINE_NUMERIC, *LINE_KEYS)
+    result = training.train_kmeans(df, LINE_NUMERIC, [], LINE_KEYS,
+                                   {"k": [3, 5], "max_iterations": [5], "standardize": [True]}, 1)
+    return result.model.quality(df)[1]
+
+
+@query
+def kmeans_properties(spark, d):
+    df = table(spark, d, "lineitem").select(*LINE_NUMERIC, *LINE_KEYS)
+    result = training.train_kmeans(df, LINE_NUMERIC, [], LINE_KEYS,
+                                   {"k": [3], "max_iterations": [5], "standardize": [True]}, 1)
+    return describe.cluster_centres(result.model, df)
+
+
+@query
+def variable_importance(spark, d):
+    result = _train(spark, d, "RF", {"ntrees": [10], "max_depth": [5]}, 1)
+    return describe.variable_importance(result.model, result.train)
+
+
+@query
+def linear_coefficients(spark, d):
+    result = _train(spark, d, "LR", {"alpha": [0], "lambda": [0]}, 1)
+    return describe.linear_coefficients(result.model, result.train)
+
+
+@query
+def actual_parameters(spark, d):
+    return describe.actual_parameters(spark, _train(spark, d, "LR", {"alpha": [0], "lambda": [0.1]}, 1).model)
+
+
+@query
+def model_summary(spark, d):
+    return describe.model_summary(spark, _train(spark, d, "RF", {"ntrees": [10], "max_depth": [5]}, 1).model)
+
+
+@query
+def cv_summary(spark, d):
+    result = _train(spark, d, "LR", {"alpha": [0], "lambda": [0.01]}, 3)
+    return describe.cross_validation_summary(stage(result.evaluation), result.folds).select(
+        "metric", "mean", "sd", F.size("fold_values").alias("folds"))
+
+
+@query
+def classification_report(spark, d):
+    """The sizes of all report tables of a scored table."""
+    out = None
+    for name, df in score.classification_report(scored(spark, d)).items():
+        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("report"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+LEARN_TYPES = {"o_orderkey": "numeric", "label": "factor", "o_totalprice": "numeric",
+               "c_acctbal": "numeric", "c_mktsegment": "factor", "o_orderstatus": "factor",
+               "c_nationkey": "factor"}
+
+
+def _learn_table(spark, d) -> DataFrame:
+    expensive = (F.col("o_totalprice") > 420000) | (F.col("c_nationkey") == 3)
+    return credit_missing(spark, d).withColumn("label", expensive.cast("int").cast("string")).drop("y")
+
+
+def _learn_config(algorithm: str, hparams: dict | None, **more) -> LearnConfig:
+    return LearnConfig(types=LEARN_TYPES, id_name="o_orderkey", target_name="label",
+                       sampling_method="undersampling", unbalanced_cutoff=2,
+                       algorithm=algorithm, hparams=hparams, cv_k=1, **more)
+
+
+@query
+def preprocess_report(spark, d):
+    config = _learn_config("NB", None)
+    data = learn_plan.import_data(spark, config, _learn_table(spark, d))
+    return learn_plan.prepare(spark, data, config).tables["preprocess_report.txt"]
+
+
+@query
+def learn_score_evaluate(spark, d):
+    """Learn, save, score new rows and test, through the written artefacts."""
+    df = _learn_table(spark, d)
+    folder = new_path(spark, "learned")
+    learn_plan.learn(spark, _learn_config("LR", {"alpha": [0], "lambda": [0.01]}, calculate_iv=True),
+                     df, folder + "/learn")
+    result = act_plan.act(spark, folder + "/learn", df=df.drop("label"), folder=folder + "/act")
+    metrics = evaluate_plan.evaluate(spark, act_folder=folder + "/act", df=df, folder=folder + "/test")
+    return (metrics["overall_metrics"].select("nobs", "auc", "logloss")
+            .crossJoin(result.predictions.agg(F.count(F.lit(1)).alias("predicted"))))
