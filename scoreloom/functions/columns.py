@@ -36,10 +36,14 @@ def column(name: str) -> Column:
 # row hashes: reproducible sampling that does not depend on partitioning
 # --------------------------------------------------------------------------
 
-def row_hash(keys: Sequence[str], seed: int = 1) -> Column:
-    """md5 of the seed and the key columns, as 32 hexadecimal digits."""
+def row_hash(keys: Sequence[str], stream: str) -> Column:
+    """md5 of the stream name and the key columns, as 32 hexadecimal digits.
+
+    Each kind of draw has a stream of its own. On one stream a split would find
+    all rows of an earlier sample on the same side.
+    """
     parts = [F.coalesce(column(k).cast("string"), F.lit("?")) for k in keys]
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
+    return F.md5(F.concat_ws("|", F.lit(stream), *parts))
 
 
 def hash_int(hashed: Column) -> Column:
@@ -47,9 +51,9 @@ def hash_int(hashed: Column) -> Column:
     return F.conv(F.substring(hashed, 1, 8), 16, 10).cast("bigint")
 
 
-def hash_share(keys: Sequence[str], seed: int = 1) -> Column:
+def hash_share(keys: Sequence[str], stream: str) -> Column:
     """A reproducible uniform number in [0, 1) per row."""
-    return hash_int(row_hash(keys, seed)) / F.lit(4294967296.0)
+    return hash_int(row_hash(keys, stream)) / F.lit(4294967296.0)
 
 
 # --------------------------------------------------------------------------

@@ -27,7 +27,7 @@ def split_by_share(df: DataFrame, share: float, keys: Sequence[str],
     """Two disjoint frames, each row assigned independently."""
     if not 0 < share < 1:
         raise ValueError("split share lies between 0 and 1")
-    first = hash_share(keys, seed) < F.lit(share)
+    first = hash_share(keys, f"split:{seed}") < F.lit(share)
     return df.where(first), df.where(~first)
 
 
@@ -40,12 +40,12 @@ def sample_share(df: DataFrame, share: float, keys: Sequence[str], seed: int = 1
     """Keep each row with the given probability."""
     if not (isinstance(share, float) and 0 < share < 1):
         raise ValueError("sample share is out of range")
-    return df.where(hash_share(keys, seed) < F.lit(share))
+    return df.where(hash_share(keys, f"share:{seed}") < F.lit(share))
 
 
 def modulo_fold(keys: Sequence[str], folds: int, seed: int = 1) -> Column:
     """Fold 0..folds-1 of a row."""
-    return F.pmod(hash_int(row_hash(keys, seed)), F.lit(folds)).cast("int")
+    return F.pmod(hash_int(row_hash(keys, f"fold:{seed}")), F.lit(folds)).cast("int")
 
 
 def repeat_rows(df: DataFrame, times: Column) -> DataFrame:
@@ -61,8 +61,8 @@ def repeat_rows(df: DataFrame, times: Column) -> DataFrame:
             .select(*[column(c) for c in df.columns]))
 
 
-def lowest_hashes(df: DataFrame, wanted: Column, keys: Sequence[str], strata: Sequence[str] = (),
-                  seed: int = 1) -> tuple[DataFrame, DataFrame]:
+def lowest_hashes(df: DataFrame, wanted: Column, keys: Sequence[str], stream: str,
+                  strata: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """The ``wanted`` rows of every stratum with the smallest row hashes, and the rest.
 
     ``wanted`` may use ``stratum_rows``, the number of rows of the stratum.
@@ -71,7 +71,7 @@ def lowest_hashes(df: DataFrame, wanted: Column, keys: Sequence[str], strata: Se
     names = [column(c) for c in df.columns]
     groups = ["__s%d" % i for i in range(len(strata))] or ["__s0"]
     group_values = [column(s) for s in strata] or [F.lit(0)]
-    hashed = df.withColumn("__hash", row_hash(keys, seed))
+    hashed = df.withColumn("__hash", row_hash(keys, stream))
     hashed = hashed.withColumn("__prefix", F.substring("__hash", 1, PREFIX_DIGITS))
     hashed = hashed.withColumns(dict(zip(groups, group_values)))
 
@@ -113,7 +113,7 @@ def lowest_hashes(df: DataFrame, wanted: Column, keys: Sequence[str], strata: Se
 
 def sample_n(df: DataFrame, rows: int, keys: Sequence[str], seed: int = 1) -> DataFrame:
     """Exactly ``rows`` rows (all of them when the table is smaller)."""
-    return lowest_hashes(df, F.lit(rows), keys, seed=seed)[0]
+    return lowest_hashes(df, F.lit(rows), keys, f"sample:{seed}")[0]
 
 
 def stratified_split(df: DataFrame, share: float, stratum: str, keys: Sequence[str],
@@ -122,7 +122,7 @@ def stratified_split(df: DataFrame, share: float, stratum: str, keys: Sequence[s
     if not 0 < share < 1:
         raise ValueError("split share lies between 0 and 1")
     quota = F.floor(F.lit(share) * F.col("stratum_rows"))
-    return lowest_hashes(df, quota, keys, [stratum], seed)
+    return lowest_hashes(df, quota, keys, f"stratified:{seed}", [stratum])
 
 
 def under_sample(df: DataFrame, label: str, cutoff: float, keys: Sequence[str],
@@ -141,5 +141,5 @@ def under_sample(df: DataFrame, label: str, cutoff: float, keys: Sequence[str],
         return df
     size = int(minor["n"] * cutoff)
     is_major = column(label).eqNullSafe(F.lit(major["label"]))
-    thinned = sample_n(df.where(is_major), size, keys, seed)
+    thinned = lowest_hashes(df.where(is_major), F.lit(size), keys, f"under:{seed}")[0]
     return df.where(~is_major).unionByName(thinned)

@@ -266,20 +266,20 @@ def gains_lift(steps: DataFrame) -> DataFrame:
     cum = (groups.withColumn("n", n).withColumn("cum_pos", F.sum("pos").over(w))
            .withColumn("cum_neg", F.sum("neg").over(w)).withColumn("cum_score", F.sum("score_sum").over(w))
            .withColumn("cum_n", F.col("cum_pos") + F.col("cum_neg")))
-    lift = (F.col("pos") / F.col("n")) / base
-    cum_lift = (F.col("cum_pos") / F.col("cum_n")) / base
+    ratio = F.try_divide
+    response, cum_response = ratio(F.col("pos"), F.col("n")), ratio(F.col("cum_pos"), F.col("cum_n"))
+    lift, cum_lift = ratio(response, base), ratio(cum_response, base)
+    capture = ratio(F.col("cum_pos"), F.col("all_pos"))
     return cum.select(
         "group", (F.col("cum_n") / rows).alias("cumulative_data_fraction"), "lower_threshold",
-        lift.alias("lift"), cum_lift.alias("cumulative_lift"),
-        (F.col("pos") / F.col("n")).alias("response_rate"),
-        (F.col("score_sum") / F.col("n")).alias("score"),
-        (F.col("cum_pos") / F.col("cum_n")).alias("cumulative_response_rate"),
-        (F.col("cum_score") / F.col("cum_n")).alias("cumulative_score"),
-        (F.col("pos") / F.col("all_pos")).alias("capture_rate"),
-        (F.col("cum_pos") / F.col("all_pos")).alias("cumulative_capture_rate"),
-        (F.lit(100.0) * (lift - 1)).alias("gain"),
+        lift.alias("lift"), cum_lift.alias("cumulative_lift"), response.alias("response_rate"),
+        ratio(F.col("score_sum"), F.col("n")).alias("score"),
+        cum_response.alias("cumulative_response_rate"),
+        ratio(F.col("cum_score"), F.col("cum_n")).alias("cumulative_score"),
+        ratio(F.col("pos"), F.col("all_pos")).alias("capture_rate"),
+        capture.alias("cumulative_capture_rate"), (F.lit(100.0) * (lift - 1)).alias("gain"),
         (F.lit(100.0) * (cum_lift - 1)).alias("cumulative_gain"),
-        (F.col("cum_pos") / F.col("all_pos") - F.col("cum_neg") / F.col("all_neg")).alias("kolmogorov_smirnov"))
+        (capture - ratio(F.col("cum_neg"), F.col("all_neg"))).alias("kolmogorov_smirnov"))
 
 
 def best_thresholds(steps: DataFrame, metrics: Sequence[str] = BEST_METRICS) -> DataFrame:

@@ -17,13 +17,13 @@ def r(expr: str, digits: int = 6) -> str:
     return f"round({expr}, {digits}) + 0.0::DOUBLE"
 
 
-def share(keys, seed: int = 1) -> str:
-    text = " || '|' || ".join(["'%d'" % seed, *[f"{k}::VARCHAR" for k in keys]])
+def share(keys, stream: str) -> str:
+    text = " || '|' || ".join([f"'{stream}:1'", *[f"{k}::VARCHAR" for k in keys]])
     return f"md5({text})"
 
 
-def hash_int(keys, seed: int = 1) -> str:
-    return f"('0x' || substr({share(keys, seed)}, 1, 8))::BIGINT"
+def hash_int(keys, stream: str) -> str:
+    return f"('0x' || substr({share(keys, stream)}, 1, 8))::BIGINT"
 
 
 def union(parts) -> str:
@@ -99,7 +99,7 @@ _ALL_LINE = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_exte
 ORACLES["numeric_profile"] = (f"WITH {MISSING_SQL}\n" + _numeric(LINE_NUMERIC, "lineitem")
                               + "\nUNION ALL " + _numeric(CREDIT_NUMERIC, "miss"))
 ORACLES["profile_auto_sample"] = f"""WITH ranked AS (
-  SELECT *, row_number() OVER (ORDER BY {share(LINE_KEYS)}, {_ALL_LINE}) AS rn, count(*) OVER () AS total
+  SELECT *, row_number() OVER (ORDER BY {share(LINE_KEYS, 'sample')}, {_ALL_LINE}) AS rn, count(*) OVER () AS total
   FROM lineitem),
 s AS (SELECT * FROM ranked WHERE total <= 10000 OR total <= 20000 OR rn <= 20000)
 """ + _numeric(LINE_NUMERIC, "s")
@@ -159,28 +159,28 @@ ORACLES["rows_with_level"] = "SELECT o_orderkey FROM orders WHERE o_orderstatus
 # ---- sampling -------------------------------------------------------------
 
 def _split(limit: str) -> str:
-    return f"""SELECT o_orderkey, CASE WHEN {hash_int(['o_orderkey'])} / 4294967296.0::DOUBLE
+    return f"""SELECT o_orderkey, CASE WHEN {hash_int(['o_orderkey'], 'split')} / 4294967296.0::DOUBLE
   < {limit}::DOUBLE THEN 'first' ELSE 'second' END AS part FROM orders"""
 
 
 ORACLES["ratio_split"] = _split("0.25")
 ORACLES["holdout_split"] = _split("0.7")
 ORACLES["stratified_split"] = f"""WITH s AS (
-  SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderstatus ORDER BY {share(['o_orderkey'])}) AS rn,
+  SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderstatus ORDER BY {share(['o_orderkey'], 'stratified')}) AS rn,
          count(*) OVER (PARTITION BY o_orderstatus) AS n FROM orders)
 SELECT o_orderkey, CASE WHEN rn <= floor(0.3::DOUBLE * n) THEN 'first' ELSE 'second' END AS part FROM s"""
 ORACLES["sample_share"] = f"""SELECT {', '.join(LINE_KEYS)}, l_quantity FROM lineitem
-WHERE {hash_int(LINE_KEYS)} / 4294967296.0::DOUBLE < 0.1::DOUBLE"""
+WHERE {hash_int(LINE_KEYS, 'share')} / 4294967296.0::DOUBLE < 0.1::DOUBLE"""
 ORACLES["sample_n"] = f"""SELECT {', '.join(LINE_KEYS)}, l_quantity FROM lineitem
-ORDER BY {share(LINE_KEYS)}, {', '.join(LINE_KEYS)}, l_quantity LIMIT 5000"""
+ORDER BY {share(LINE_KEYS, 'sample')}, {', '.join(LINE_KEYS)}, l_quantity LIMIT 5000"""
 ORACLES["under_sample"] = f"""WITH j AS (
   SELECT doc_id, lang, source, n_chars, quality, toxic FROM documents JOIN labels USING (doc_id)),
 c AS (SELECT *, count(*) OVER (PARTITION BY quality) AS n,
-             row_number() OVER (PARTITION BY quality ORDER BY {share(['doc_id'])}) AS rn FROM j),
+             row_number() OVER (PARTITION BY quality ORDER BY {share(['doc_id'], 'under')}) AS rn FROM j),
 b AS (SELECT min(n) AS minor, max(n) AS major FROM c)
 SELECT doc_id, lang, source, n_chars, quality, toxic FROM c, b
 WHERE n = minor OR major * 1.0::DOUBLE / minor <= 2 OR rn <= 2 * minor"""
-ORACLES["modulo_folds"] = f"""SELECT o_orderkey, ({hash_int(['o_orderkey'])} % 5)::INTEGER AS fold
+ORACLES["modulo_folds"] = f"""SELECT o_orderkey, ({hash_int(['o_orderkey'], 'fold')} % 5)::INTEGER AS fold
 FROM orders"""
 
 # ---- joins ----------------------------------------------------------------
@@ -457,11 +457,11 @@ SELECT i / 10.0::DOUBLE AS cut, (j / 10.0::DOUBLE)::VARCHAR || '-' || ((j + 1) /
 FROM x"""
 ORACLES["top_n"] = f"""WITH {_STEPS},
 goal AS (SELECT i, greatest((i * (SELECT count(*) FROM scored)) // 10, 1) AS g FROM range(1, 11) r(i)),
-hit AS (SELECT i, (SELECT max(p1) FROM steps WHERE tps + fps >= g) AS at FROM goal)
+hit AS (SELECT i, (SELECT max(p1) FROM steps WHERE tps + fps >= g) AS cut FROM goal)
 SELECT 'Top' || (i * 10)::VARCHAR || '%' AS score_top, {r('p1')} AS threshold, tps::BIGINT AS tps,
   fps::BIGINT AS fps, tns, fns, {r('tpr')} AS recall, {r('precision')} AS precision,
   {r('accuracy')} AS accuracy, {r('tnr')} AS specificity
-FROM hit JOIN {_rates('steps')} ON p1 = at"""
+FROM hit JOIN {_rates('steps')} ON p1 = cut"""
 _CUTS = ", ".join(f"({i + 1}, {round(1 - s, 10)!r}::DOUBLE)" for i, s in enumerate(GAINS_SHARES))
 _CUT_Q = union(
     f"SELECT {i + 1} AS g, quantile_cont(p1, {round(1 - s, 10)!r}) AS cut FROM scored"
@@ -511,7 +511,7 @@ def _set(which: str, cond: str) -> str:
     steps = ("sp AS" + steps).replace("sp AS", f"sp_{which} AS").replace("steps AS", f"steps_{which} AS") \
         .replace("FROM sp ", f"FROM sp_{which} ")
     return f"""{which} AS (SELECT * FROM scored
-  WHERE {hash_int(LINE_KEYS)} / 4294967296.0::DOUBLE {cond} 0.7::DOUBLE), {steps},
+  WHERE {hash_int(LINE_KEYS, 'split')} / 4294967296.0::DOUBLE {cond} 0.7::DOUBLE), {steps},
 m_{which} AS ({_loss(which, 'steps_' + which)})"""
 
 
@@ -553,7 +553,7 @@ assigned AS (SELECT *, k::INTEGER AS cluster FROM best WHERE rn = 1)"""
 ORACLES["cluster_assign"] = f"""WITH {_ASSIGNED}
 SELECT {', '.join(LINE_KEYS)}, {r('l_quantity', 2)} AS l_quantity, cluster, {r('d', 2)} AS sq_dist FROM assigned"""
 ORACLES["cluster_quality"] = f"""WITH {_ASSIGNED}
-SELECT cluster, count(*)::BIGINT AS size, {r('sum(d)', 1)} AS withinss, """ + ", ".join(
+SELECT cluster, count(*)::BIGINT AS size, {r('sum(d) / 1e9', 3)} AS withinss, """ + ", ".join(
     f"{r(f'avg({c})', 1)} AS mean_{c}" for c in LINE_NUMERIC) + " FROM assigned GROUP BY cluster"
 _SS = " + ".join(f"var_pop({c}) * count({c})" for c in LINE_NUMERIC)
 ORACLES["cluster_totals"] = f"""WITH {_ASSIGNED},

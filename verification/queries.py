@@ -524,7 +524,7 @@ def overall_metrics(spark, d):
 @query
 def metric_sets(spark, d):
     """The same metrics per set of a split."""
-    share = sample.hash_share(LINE_KEYS)
+    share = sample.hash_share(LINE_KEYS, "split:1")
     split = scored(spark, d).withColumn("split", F.when(share < 0.7, F.lit("train")).otherwise(F.lit("valid")))
     out = None
     for which in ("train", "valid"):
@@ -558,7 +558,8 @@ def cluster_assign(spark, d):
 def cluster_quality(spark, d):
     assigned = cluster.assign(table(spark, d, "lineitem"), LINE_NUMERIC, _centres(spark, d))
     per = cluster.cluster_quality(assigned, LINE_NUMERIC)[1]
-    return rounded(per, 1)
+    return rounded(rounded(per.withColumn("withinss", F.col("withinss") / F.lit(1e9)), 3, ["withinss"]),
+                   1, ["mean_" + c for c in LINE_NUMERIC])
 
 
 @query
