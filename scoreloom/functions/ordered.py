@@ -12,31 +12,25 @@ from scoreloom.functions.columns import column
 from scoreloom.functions.staging import stage
 
 
-def default_slices(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-
-
 def ordered_totals(df: DataFrame, order: Sequence[Column], totals: dict[str, Column],
-                   group: Sequence[str] = (), whole: dict[str, str] | None = None,
-                   slices: int | None = None) -> DataFrame:
+                   group: Sequence[str] = (), whole: dict[str, str] | None = None) -> DataFrame:
     """Add inclusive running totals in the given order, within ``group``.
 
     ``whole`` maps a total to a further column with its sum over the group.
 
-    The rows are range-partitioned on (group, order) into ``slices`` and staged
-    together with the number of their slice, which fixes the slice of each row.
-    Slice totals (at most slices + number of groups rows per run) give every
+    The rows are range-partitioned on (group, order), adaptive execution picking
+    the number of slices, and staged together with the number of their slice,
+    which fixes the slice of each row. Slice totals (at most slices + number of
+    groups rows) give every
     slice its starting value, and a window inside one slice adds the rest. No
     task sees more than one slice, however large a single group is; rows equal
     in all order columns must have been collapsed before.
     """
-    slices = slices or default_slices(df)
     keys = [column(g) for g in group]
     for name, value in totals.items():
         df = df.withColumn(name, value)
     staged = stage(
-        df.repartitionByRange(slices, *keys, *order)
+        df.repartitionByRange(*keys, *order)
         .withColumn("__slice", F.spark_partition_id()), "ordered")
 
     starts = staged.groupBy(*keys, "__slice").agg(

@@ -158,24 +158,29 @@ def _chi_square_value(a: float, b: float, c: float, d: float) -> float:
 
 def _folded_groups(rows: DataFrame, limit: float) -> DataFrame:
     """Group number per bin by a left fold over the ordered bins of a variable."""
-    entry = F.struct("key", "tie", "bin", "pos", "neg")
+    entry = F.struct("key", "tie", *[column(c) for c in rows.columns if c not in ("variable", "key", "tie")])
     ordered = rows.groupBy("variable").agg(F.array_sort(F.collect_list(entry)).alias("bins"))
-    first = F.col("bins")[0]
+
+    def cells(x: Column) -> tuple[Column, Column]:
+        return x["pos"].cast("double"), x["neg"].cast("double")
+
+    pos, neg = cells(F.col("bins")[0])
     start = F.struct(F.array(F.lit(1)).alias("ids"), F.lit(1).alias("at"),
-                     first["pos"].alias("pos"), first["neg"].alias("neg"))
+                     pos.alias("pos"), neg.alias("neg"))
 
     def step(state: Column, x: Column) -> Column:
-        joins = chi_square(state["pos"], state["neg"], x["pos"], x["neg"]) <= F.lit(limit)
+        p, q = cells(x)
+        joins = chi_square(state["pos"], state["neg"], p, q) <= F.lit(limit)
         at = F.when(joins, state["at"]).otherwise(state["at"] + 1)
         return F.struct(
             F.concat(state["ids"], F.array(at)).alias("ids"), at.alias("at"),
-            F.when(joins, state["pos"] + x["pos"]).otherwise(x["pos"]).alias("pos"),
-            F.when(joins, state["neg"] + x["neg"]).otherwise(x["neg"]).alias("neg"))
+            F.when(joins, state["pos"] + p).otherwise(p).alias("pos"),
+            F.when(joins, state["neg"] + q).otherwise(q).alias("neg"))
 
     rest = F.slice("bins", 2, F.greatest(F.size("bins") - 1, F.lit(0)))
     walked = ordered.withColumn("ids", F.aggregate(rest, start, step, lambda s: s["ids"]))
-    pairs = F.zip_with("bins", "ids", lambda b, i: F.struct(b["bin"].alias("bin"), i.alias("group")))
-    return walked.select("variable", F.inline(pairs))
+    pairs = F.zip_with("bins", "ids", lambda b, i: F.struct(b.alias("b"), i.alias("group")))
+    return walked.select("variable", F.inline(pairs)).select("variable", "group", "b.*")
 
 
 def _streamed_groups(rows: DataFrame, limit: float) -> DataFrame:
@@ -184,48 +189,55 @@ def _streamed_groups(rows: DataFrame, limit: float) -> DataFrame:
     The levels of a variable stream through one sorted pass that keeps only the
     current group's two counts, so memory stays constant.
     """
+    names = rows.columns
+
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        variable, at, pos, neg = None, 0, 0.0, 0.0
+        variable, at, member, pos, neg = None, 0, 0, 0.0, 0.0
         for batch in batches:
-            ids = []
-            for v, p, q in zip(batch["variable"], batch["pos"], batch["neg"]):
+            ids, members = [], []
+            for v, p, q in zip(batch["variable"], batch["pos"].astype(float), batch["neg"].astype(float)):
                 if v != variable:
-                    variable, at, pos, neg = v, 1, p, q
+                    variable, at, member, pos, neg = v, 1, 0, p, q
                 elif _chi_square_value(pos, neg, p, q) <= limit:
-                    pos, neg = pos + p, neg + q
+                    member, pos, neg = member + 1, pos + p, neg + q
                 else:
-                    at, pos, neg = at + 1, p, q
+                    at, member, pos, neg = at + 1, 0, p, q
                 ids.append(at)
-            yield pd.DataFrame({"variable": batch["variable"], "bin": batch["bin"], "group": ids})
+                members.append(member)
+            yield batch[names].assign(group=ids, member=members)
 
-    ordered = rows.repartition("variable").sortWithinPartitions("variable", "key", "tie")
-    return ordered.mapInPandas(walk, "variable string, bin string, group int")
+    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes) + ", group int, member bigint"
+    return (rows.repartition("variable").sortWithinPartitions("variable", "key", "tie")
+            .mapInPandas(walk, schema))
 
 
-def merge_groups(woe: DataFrame, p_threshold: float = 0.1,
-                 fold_limit: int = FOLD_LIMIT) -> DataFrame:
-    """``(variable, bin, group)``: neighbours merge while the chi-square test allows.
+def merge_groups(woe: DataFrame, p_threshold: float = 0.1, fold_limit: int = FOLD_LIMIT) -> DataFrame:
+    """Add ``group``: neighbouring bins merge while the chi-square test allows.
 
     Numerics are walked in bin order, factors in the order of their weight of
-    evidence. The missing bin of a numeric keeps to itself as group 0.
+    evidence. The missing bin of a numeric keeps to itself as group 0. The
+    columns ``key`` and ``tie`` hold the walking order, ``member`` counts within
+    a group of a streamed variable and is 0 elsewhere.
     """
-    # one row per variable
+    # one row per variable: which are binned numerics, and which are too long to fold
     kinds = woe.groupBy("variable").agg(
-        F.max(F.col("position").isNotNull()).alias("__numeric"), F.count(F.lit(1)).alias("__bins"))
-    marked = woe.join(F.broadcast(kinds), "variable")
-    apart = marked.where(F.col("__numeric") & F.col("position").isNull())
-    rows = marked.where(~F.col("__numeric") | F.col("position").isNotNull()).select(
-        "variable", "bin", "__bins",
-        F.when(F.col("__numeric"), F.col("position").cast("double")).otherwise(F.col("woe")).alias("key"),
-        F.when(~F.col("__numeric"), F.col("bin")).alias("tie"),
-        F.col("pos").cast("double").alias("pos"), F.col("neg").cast("double").alias("neg"))
+        F.max(F.col("position").isNotNull()).alias("numeric"), F.count(F.lit(1)).alias("bins")).collect()
+    numeric = F.col("variable").isin(*[k["variable"] for k in kinds if k["numeric"]])
+    long = [k["variable"] for k in kinds if k["bins"] > fold_limit]
+    rows = woe.select(
+        "variable", F.when(numeric, F.col("position").cast("double")).otherwise(F.col("woe")).alias("key"),
+        F.when(~numeric, F.col("bin")).alias("tie"),
+        *[column(c) for c in woe.columns if c != "variable"])
+    apart = numeric & F.col("position").isNull()
     limit = merge_limit(p_threshold)
-    out = _folded_groups(rows.where(F.col("__bins") <= fold_limit), limit)
-    # one row per variable decides whether the streamed pass is needed at all
-    if kinds.where(F.col("__bins") > fold_limit).limit(1).count():
-        out = out.unionByName(_streamed_groups(
-            rows.where(F.col("__bins") > fold_limit).drop("__bins"), limit))
-    return out.unionByName(apart.select("variable", "bin", F.lit(0).alias("group")))
+    is_long = F.col("variable").isin(*long)
+    walkable = rows.where(~apart)
+    out = _folded_groups(walkable.where(~is_long), limit).unionByName(
+        rows.where(apart).withColumn("group", F.lit(0)))
+    out = out.withColumn("member", F.lit(0).cast("bigint"))
+    if long:
+        out = out.unionByName(_streamed_groups(walkable.where(is_long), limit))
+    return out
 
 
 def chi_merge(woe: DataFrame, p_threshold: float = 0.1, fold_limit: int = FOLD_LIMIT) -> DataFrame:
@@ -234,27 +246,18 @@ def chi_merge(woe: DataFrame, p_threshold: float = 0.1, fold_limit: int = FOLD_L
     ``bin`` joins the member labels in walking order. A group of more than
     ``fold_limit`` members has NULL there; :func:`merge_groups` lists them.
     """
-    woe = stage(woe, "woe")
-    groups = merge_groups(woe, p_threshold, fold_limit)
-    member = F.struct(
-        F.coalesce(F.col("position").cast("double"), F.col("woe")).alias("key"),
-        F.col("bin").alias("bin"))
-    # a stringless member marks the missing level inside a merged label
-    joined = woe.join(
-        groups.withColumnsRenamed({"variable": "__v", "bin": "__b"}),
-        (F.col("variable") == F.col("__v")) & F.col("bin").eqNullSafe(F.col("__b")))
-    totals = joined.groupBy("variable", "group").agg(
-        F.sum("n").alias("n"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
-        F.count(F.lit(1)).alias("__members"))
-    sized = joined.join(totals.select("variable", "group", "__members"), ["variable", "group"])
-    labels = (sized.where(F.col("__members") <= fold_limit).groupBy("variable", "group")
-              .agg(F.array_sort(F.collect_list(member)).alias("m"))
-              .select("variable", "group", F.when(
-                  (F.size("m") > 1) | F.col("m")[0]["bin"].isNotNull(),
-                  F.array_join(F.transform("m", lambda x: F.coalesce(x["bin"], F.lit("NULL"))), "_"))
-                  .alias("bin")))
-    return (woe_table(totals.drop("__members")).join(labels, ["variable", "group"], "left")
-            .select("variable", "group", "bin", "n", "pos", "neg", "pct_1", "pct_0", "woe"))
+    groups = merge_groups(stage(woe, "woe"), p_threshold, fold_limit)
+    label = F.coalesce("bin", F.lit("NULL")).alias("label")
+    # at most fold_limit labels per group enter a list
+    listed = F.when(F.col("member") < fold_limit, F.struct("key", "tie", "bin", label))
+    merged = groups.groupBy("variable", "group").agg(
+        *[F.sum(c).alias(c) for c in ("n", "pos", "neg", "pct_1", "pct_0")],
+        F.count(F.lit(1)).alias("__members"), F.array_sort(F.collect_list(listed)).alias("__m"))
+    joined = (F.when(F.col("__members") == 1, F.col("__m")[0]["bin"])
+              .when(F.col("__members") <= fold_limit,
+                    F.array_join(F.transform("__m", lambda x: x["label"]), "_")))
+    return merged.select("variable", "group", joined.alias("bin"), "n", "pos", "neg", "pct_1", "pct_0",
+                         weight_of_evidence(F.col("pct_1"), F.col("pct_0")).alias("woe"))
 
 
 def information_value(woe: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.functions.columns import column
+from scoreloom.functions.staging import stage
 
 
 def _flat(df: DataFrame) -> DataFrame:
@@ -34,34 +35,23 @@ def write_report(df: DataFrame, path: str) -> None:
 
 
 def table_lines(name: str, df: DataFrame) -> DataFrame:
-    """A small table as report rows: one per row of the table, cells joined."""
-    cells = [F.concat(F.lit(c + "="), F.coalesce(column(c).cast("string"), F.lit("")))
-             for c in _flat(df).columns]
-    return _flat(df).select(F.lit(name).alias("section"), F.lit("").alias("key"),
-                            F.concat_ws(", ", *cells).alias("value"))
-
-
-def write_tables(named: dict[str, DataFrame], folder: str) -> None:
-    """A set of named tables as CSV, one folder entry each."""
-    for name, df in named.items():
-        write_csv(df, f"{folder.rstrip('/')}/{name}")
+    """A small table as ``(table, row, line)``: each row as JSON and as plain text."""
+    cells = [F.concat(F.lit(c + "="), F.coalesce(
+        (F.concat_ws("|", column(c).cast("array<string>")) if t.startswith("array")
+         else column(c).cast("string")), F.lit(""))) for c, t in df.dtypes]
+    return df.select(F.lit(name).alias("table"),
+                     F.to_json(F.struct(*[column(c) for c in df.columns])).alias("row"),
+                     F.concat_ws(", ", *cells).alias("line"))
 
 
 def write_report_set(named: dict[str, DataFrame], folder: str, stem: str) -> None:
-    """The same tables as one JSON and one text artefact."""
-    lines = None
-    for name, df in named.items():
-        rows = table_lines(name, df)
-        lines = rows if lines is None else lines.unionByName(rows)
-    base = f"{folder.rstrip('/')}/{stem}"
-    write_report(lines, base + ".txt")
+    """A set of named tables as one JSON and one text artefact, computed once."""
     packed = None
     for name, df in named.items():
-        rows = df.select(F.lit(name).alias("table"),
-                         F.to_json(F.struct(*[column(c) for c in df.columns])).alias("row"))
+        rows = table_lines(name, df)
         packed = rows if packed is None else packed.unionByName(rows)
-    write_json_rows(packed, base + ".json")
-
-
-def exists_nonempty(df: DataFrame | None) -> bool:
-    return df is not None and bool(df.take(1))
+    packed = stage(packed, "report")
+    base = f"{folder.rstrip('/')}/{stem}"
+    write_json_rows(packed.select("table", "row"), base + ".json")
+    write_report(packed.select(F.col("table").alias("section"), F.lit("").alias("key"),
+                               F.col("line").alias("value")), base + ".txt")

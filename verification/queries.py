@@ -369,7 +369,7 @@ def label_to_binary(spark, d):
 
 
 def _credit_woe(spark, d) -> DataFrame:
-    df = credit_missing(spark, d)
+    df = stage(credit_missing(spark, d))  # one join for the three passes
     breaks = quantile.breaks_by_column(quantile.quantile_breaks(df, CREDIT_NUMERIC))
     return woe.woe_table(woe.bin_counts(df, "y", CREDIT_FACTORS, breaks))
 
@@ -408,7 +408,7 @@ def chi_merge_strong(spark, d):
 @query
 def merge_groups_streamed(spark, d):
     """The pass for variables with very many levels, forced on all variables."""
-    return woe.merge_groups(_strong_woe(spark, d), fold_limit=1)
+    return woe.merge_groups(stage(_strong_woe(spark, d)), fold_limit=1).select("variable", "bin", "group")
 
 
 @query
@@ -419,7 +419,8 @@ def woe_order(spark, d):
 
 @query
 def iv_table(spark, d):
-    return rounded(woe.iv_analysis(credit_missing(spark, d), "y", CREDIT_NUMERIC, CREDIT_FACTORS)[0])
+    df = stage(credit_missing(spark, d))  # one join for the three passes
+    return rounded(woe.iv_analysis(df, "y", CREDIT_NUMERIC, CREDIT_FACTORS)[0])
 
 
 @query
