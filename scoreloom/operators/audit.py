@@ -60,23 +60,23 @@ def audit_label(df: DataFrame, name: str) -> DataFrame:
 def audit_dictionary(rows: DataFrame, header_in_rows: bool = False) -> DataFrame:
     """Dictionary rows ``(variable, type)``: header, two cells, no repeats, known types."""
     extra = column("extra").isNotNull() if "extra" in rows.columns else F.lit(False)
-    header = column("variable") == "variable"
-    body = rows.where(~header | column("variable").isNull()) if header_in_rows else rows
-    facts = body.groupBy("variable").agg(
+    head = F.coalesce(column("variable") == "variable", F.lit(False)) if header_in_rows else F.lit(False)
+    facts = rows.groupBy("variable", head.alias("head")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(extra | column("variable").isNull() | column("type").isNull()).alias("bad_cells"),
-        F.count_if(~F.coalesce(column("type"), F.lit("")).isin(NUMERIC, FACTOR)).alias("bad_type"))
+        F.count_if(~F.coalesce(column("type"), F.lit("")).isin(NUMERIC, FACTOR)).alias("bad_type"),
+        F.count_if((column("type") == "type") & ~extra).alias("titles"))
+    body = ~F.col("head")
     seen = facts.agg(
-        F.count_if(F.col("n") > 1).alias("repeated"),
-        F.coalesce(F.sum("bad_cells"), F.lit(0)).alias("bad_cells"),
-        F.coalesce(F.sum("bad_type"), F.lit(0)).alias("bad_type"))
+        F.count_if(body & (F.col("n") > 1)).alias("repeated"),
+        F.coalesce(F.sum(F.when(body, F.col("bad_cells"))), F.lit(0)).alias("bad_cells"),
+        F.coalesce(F.sum(F.when(body, F.col("bad_type"))), F.lit(0)).alias("bad_type"),
+        F.coalesce(F.sum(F.when(~body, F.col("titles"))), F.lit(0)).alias("titles"))
     checks = [("dictionary_two_cells", "bad_cells"), ("dictionary_no_repeats", "repeated"),
               ("dictionary_known_types", "bad_type")]
     out = [_row(check, F.col(c), F.lit(0), F.col(c) == 0) for check, c in checks]
     if header_in_rows:
-        heads = rows.agg(F.count_if(header & (column("type") == "type") & ~extra).alias("heads"))
-        seen = seen.crossJoin(F.broadcast(heads))  # one row each
-        out.insert(0, _row("dictionary_header", F.col("heads"), F.lit(1), F.col("heads") >= 1))
+        out.insert(0, _row("dictionary_header", F.col("titles"), F.lit(1), F.col("titles") >= 1))
     return stack_rows(seen, out)
 
 

@@ -149,13 +149,13 @@ def score_groups(grid: DataFrame) -> DataFrame:
         .where(F.col("j") < 10) \
         .select("j", "total", (F.col("tps") - F.col("up_tps")).alias("pos"),
                 (F.col("fps") - F.col("up_fps")).alias("neg"))
-    cuts = grid.sparkSession.range(11).select(F.col("id").cast("int").alias("i"))
+    cuts = bands.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(10))))  # 10 x 11 rows
     hit = F.col("j") >= F.col("i")
     pos, neg = F.col("pos"), F.col("neg")
     zero_d = F.lit(0.0)
     share_pos = F.coalesce(F.try_divide(pos, pos + neg), zero_d)
     share_neg = F.coalesce(F.try_divide(neg, pos + neg), zero_d)
-    return bands.crossJoin(F.broadcast(cuts)).select(  # 10 x 11 rows
+    return cuts.select(
         (F.col("i") / F.lit(10.0)).alias("cut"),
         F.concat((F.col("j") / F.lit(10.0)).cast("string"), F.lit("-"),
                  ((F.col("j") + 1) / F.lit(10.0)).cast("string")).alias("score_band"),
@@ -174,10 +174,14 @@ def score_groups(grid: DataFrame) -> DataFrame:
 
 def ks_exact(steps: DataFrame) -> DataFrame:
     """``(ks, ks_threshold, ks_idx)`` over every observed score, lowest threshold on ties."""
+    return _ks_and_size(steps).drop("size")
+
+
+def _ks_and_size(steps: DataFrame) -> DataFrame:
     gap = F.try_divide(F.col("tps"), F.col("all_pos")) - F.try_divide(F.col("fps"), F.col("all_neg"))
-    best = steps.agg(F.max(F.struct(gap.alias("gap"), (-F.col("p1")).alias("neg_t"),
-                                    F.col("idx"))).alias("b"))
-    return best.select(F.col("b.gap").alias("ks"), (-F.col("b.neg_t")).alias("ks_threshold"),
+    best = steps.agg(F.count(F.lit(1)).alias("size"),
+                     F.max(F.struct(gap.alias("gap"), (-F.col("p1")).alias("neg_t"), F.col("idx"))).alias("b"))
+    return best.select("size", F.col("b.gap").alias("ks"), (-F.col("b.neg_t")).alias("ks_threshold"),
                        F.col("b.idx").alias("ks_idx"))
 
 
@@ -198,7 +202,7 @@ def thin_around(size: int, centre: int, wanted: int = 20) -> list[int]:
 
 def thinned_steps(steps: DataFrame, wanted: int = 20) -> DataFrame:
     """About ``wanted`` threshold rows around the KS row, all of a short table."""
-    shape = ks_exact(steps).crossJoin(steps.agg(F.count(F.lit(1)).alias("size"))).first()
+    shape = _ks_and_size(steps).first()
     if shape["size"] > wanted + 10:
         steps = steps.where(F.col("idx").isin(thin_around(shape["size"], shape["ks_idx"], wanted)))
     rated = _with_rates(steps).withColumn("tpr_fpr", F.col("tpr") - F.col("fpr"))

@@ -710,5 +710,9 @@ def learn_score_evaluate(spark, d):
                      df, folder + "/learn")
     result = act_plan.act(spark, folder + "/learn", df=df.drop("label"), folder=folder + "/act")
     metrics = evaluate_plan.evaluate(spark, act_folder=folder + "/act", df=df, folder=folder + "/test")
-    return (metrics["overall_metrics"].select("nobs", "auc", "logloss")
-            .crossJoin(result.predictions.agg(F.count(F.lit(1)).alias("predicted"))))
+    tested = metrics["overall_metrics"].select("nobs", "auc", "logloss")
+    return (tested.select(F.inline(F.array(*[
+                F.struct(F.lit(m).alias("measure"), F.col(c).cast("double").alias("value"))
+                for m, c in (("tested_rows", "nobs"), ("auc", "auc"), ("logloss", "logloss"))])))
+            .unionByName(result.predictions.agg(F.count(F.lit(1)).cast("double").alias("value"))
+                         .select(F.lit("predicted_rows").alias("measure"), "value")))
