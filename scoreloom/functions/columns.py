@@ -32,6 +32,16 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def sample_deviation(value: Column) -> Column:
+    """Sample standard deviation, exactly 0 for a constant.
+
+    Merging partial moments leaves a rounding residue on constant columns, which
+    a test for 0 would miss.
+    """
+    constant = (F.max(value) == F.min(value)) & (F.count(value) > 1)
+    return F.when(constant, F.lit(0.0)).otherwise(F.stddev_samp(value))
+
+
 # --------------------------------------------------------------------------
 # row hashes: reproducible sampling that does not depend on partitioning
 # --------------------------------------------------------------------------

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.functions.columns import column
+from scoreloom.functions.columns import column, sample_deviation
 from scoreloom.functions.reshape import stack_rows
 from scoreloom.functions.staging import stage
 from scoreloom.operators.woe import bin_counts
@@ -46,7 +46,7 @@ def bayes_tables(df: DataFrame, y: str, numeric: Sequence[str], factors: Sequenc
     for i, c in enumerate(numeric):
         for k in (0, 1):
             x = F.when(column(y) == k, column(c).cast("double"))
-            measures += [F.avg(x).alias(f"m{i}_{k}"), F.stddev_samp(x).alias(f"s{i}_{k}")]
+            measures += [F.avg(x).alias(f"m{i}_{k}"), sample_deviation(x).alias(f"s{i}_{k}")]
     wide = stage(df.agg(*measures), "moments")
     if numeric:
         moments = stack_rows(wide, [

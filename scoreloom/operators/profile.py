@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.functions.columns import column
+from scoreloom.functions.columns import column, sample_deviation
 from scoreloom.functions.reshape import stack_rows, to_long
 from scoreloom.operators.quantile import medians
 from scoreloom.operators.sample import sample_n, sample_share
@@ -18,7 +18,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     wide = df.agg(*[
         f(column(c).cast("double")).alias(f"{tag}{i}")
         for i, c in enumerate(columns)
-        for tag, f in (("max", F.max), ("min", F.min), ("mean", F.avg), ("sd", F.stddev_samp))
+        for tag, f in (("max", F.max), ("min", F.min), ("mean", F.avg), ("sd", sample_deviation))
     ], *[F.count_if(column(c).isNull()).alias("null%d" % i) for i, c in enumerate(columns)])
     rows = [{"variable": F.lit(c), "max": F.col("max%d" % i), "min": F.col("min%d" % i),
              "mean": F.col("mean%d" % i), "sigma": F.col("sd%d" % i),
@@ -84,7 +84,7 @@ def column_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def column_std(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(variable, sigma)``: sample standard deviation, NULLs skipped."""
-    wide = df.agg(*[F.stddev_samp(column(c).cast("double")).alias("s%d" % i)
+    wide = df.agg(*[sample_deviation(column(c).cast("double")).alias("s%d" % i)
                     for i, c in enumerate(columns)])
     return stack_rows(wide, [{"variable": F.lit(c), "sigma": F.col("s%d" % i)}
                              for i, c in enumerate(columns)])

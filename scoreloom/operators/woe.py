@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.functions.columns import (
     chi_square, column, cut_right_closed, merge_limit, p_value_ceiling, p_value_floor,
-    weight_of_evidence)
+    sample_deviation, weight_of_evidence)
 from scoreloom.functions.ordered import ordered_totals
 from scoreloom.functions.reshape import to_long
 from scoreloom.functions.staging import stage
@@ -297,7 +297,7 @@ def level_codes(df: DataFrame, y: str, factors: Sequence[str]) -> DataFrame:
     woe = shares.select("variable", F.col("bin").alias("level"), F.ln(F.try_divide(
         F.col("pct_1") + smooth, F.col("pct_0") + smooth)).alias("woe"))
     # one row per variable
-    scale = woe.groupBy("variable").agg(F.avg("woe").alias("__mean"), F.stddev_samp("woe").alias("__sd"))
+    scale = woe.groupBy("variable").agg(F.avg("woe").alias("__mean"), sample_deviation(F.col("woe")).alias("__sd"))
     z = F.try_divide(F.col("woe") - F.col("__mean"), F.col("__sd"))
     return (woe.join(F.broadcast(scale), "variable")
             .select("variable", "level", "woe",
