@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.functions.columns import column, sample_deviation
 from scoreloom.functions.reshape import stack_rows, to_long
+from scoreloom.functions.staging import stage
 from scoreloom.operators.quantile import medians
 from scoreloom.operators.sample import sample_n, sample_share
 
@@ -42,7 +43,8 @@ def factor_profile(df: DataFrame, columns: Sequence[str], join_up_to: int = 10_0
     than ``join_up_to`` levels is not put into one cell: the cell is NULL and
     :func:`level_domain` holds the whole list as rows.
     """
-    counts = level_counts(df, columns) if counts is None else counts
+    # read four times below: staged, or the table would be scanned each time
+    counts = stage(level_counts(df, columns), "levels") if counts is None else counts
     level, n = F.col("level"), F.col("n")
     present = level.isNotNull()
     summary = counts.groupBy("variable").agg(

@@ -1,16 +1,19 @@
 """Exact interpolated quantiles of many columns without sorting the table.
 
-Two passes. The first builds a sketch per column (bounded memory) whose error
-bound brackets every wanted rank between two values. The second counts: values
-inside a bracket are counted per distinct value, everything between brackets
-collapses to one row with count, minimum and maximum. Ranks are then read off
-exactly. Only about five in ``accuracy`` of the rows per wanted quantile survive
-to the ranking step, and that step works per (column, bracket).
+Selection by counting. Splitters from a row sample cut each column into cells;
+one pass counts the rows per cell, so the cell of every wanted rank is known
+exactly. Cells that are still large are cut again by a sample of their own rows.
+Last, the distinct values of the few cells that hold a wanted rank are counted
+and ranked, cell by cell. The sample only decides how much work is left, never
+the result. Each splitter is also a cell of its own, so a value that very many
+rows share is settled by the counts alone.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
@@ -20,102 +23,164 @@ from pyspark.sql import functions as F
 from scoreloom.functions.columns import INF, column
 from scoreloom.functions.reshape import to_long
 
+SPLITTERS = 256
+SAMPLE_ROWS = 200_000
+CELL_ROWS = 1_000_000
+MAX_ROUNDS = 12
 
-def _brackets(long: DataFrame, probs: Sequence[float], accuracy: int) -> dict[str, list[tuple]]:
-    margin = 2.5 / accuracy
-    edges = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
-    # one row per column of the table, two values per wanted quantile
-    rows = long.groupBy("variable").agg(
-        F.percentile_approx("value", edges, accuracy).alias("edges")).collect()
-    m = len(probs)
-    return {r["variable"]: list(zip(r["edges"][:m], r["edges"][m:])) for r in rows}
 
+@dataclass
+class _Cell:
+    number: int
+    rows: int
+    low: float
+    high: float
+    start: int
+    ranks: list[int]
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    accuracy: int = 10_000) -> DataFrame:
-    """``(variable, probability, value)``, linear interpolation, NULLs skipped."""
-    probs = sorted(set(probs))
-    doubles = {c: column(c).cast("double") for c in columns}
-    long = to_long(df, doubles).where(F.col("value").isNotNull())
-    brackets = _brackets(long, probs, accuracy)
 
-    # wide form again, so that every column has its own constant search table
-    cells = df.select(*[v.alias(c) for c, v in doubles.items()])
+def _cuts(points: Sequence[float]) -> list[float]:
+    """Every point opens a cell, and the next larger double closes it."""
+    out = set()
+    for p in points:
+        if p is not None and math.isfinite(p):
+            out |= {-0.0 if p == 0 else p, math.nextafter(p, INF)}
+    return sorted(out)
+
+
+def _long_cells(df: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
+    """``(variable, cell, x)`` of the present values."""
     structs = {}
-    for i, c in enumerate(columns):
-        pairs = brackets.get(c)
-        if not pairs:
-            continue
-        lows: list[float] = []
-        highs: list[float] = []
-        for low, high in pairs:
-            if lows and low == lows[-1]:
-                highs[-1] = max(highs[-1], high)
-            else:
-                lows.append(low)
-                highs.append(max(high, highs[-1]) if highs else high)
-        splits = [-INF] + [-0.0 if x == 0 else x for x in lows] + [INF]
+    for i, (c, points) in enumerate(cuts.items()):
         cell = "__cell%d" % i
-        cells = Bucketizer(splits=splits, inputCol=c, outputCol=cell,
-                           handleInvalid="keep").transform(cells)
-        inside = F.col(cell).cast("int")
-        upper = F.element_at(F.array(F.lit(-INF), *[F.lit(h) for h in highs]), inside + 1)
+        if points:
+            df = Bucketizer(splits=[-INF, *points, INF], inputCol=c, outputCol=cell,
+                            handleInvalid="keep").transform(df)
+        else:
+            df = df.withColumn(cell, F.lit(0.0))
         structs[c] = F.when(column(c).isNotNull(), F.struct(
-            inside.alias("cell"), column(c).alias("x"),
-            F.when(column(c) <= upper, column(c)).alias("kept")))
-    if not structs:
-        return df.sparkSession.createDataFrame([], "variable string, probability double, value double")
-
-    counted = (to_long(cells, structs).where(F.col("value").isNotNull())
-               .groupBy("variable", F.col("value.cell").alias("cell"), F.col("value.kept").alias("kept"))
-               .agg(F.count(F.lit(1)).alias("n"), F.min("value.x").alias("low"),
-                    F.max("value.x").alias("high")))
-    # at most (number of quantiles + 1) cells per column
-    per_cell = counted.groupBy("variable", "cell").agg(F.sum("n").alias("cell_n"))
-    ahead = W.partitionBy("variable").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
-    everything = W.partitionBy("variable")
-    starts = per_cell.select(
-        "variable", "cell",
-        F.coalesce(F.sum("cell_n").over(ahead), F.lit(0)).alias("cell_start"),
-        F.sum("cell_n").over(everything).alias("n_total"))
-    # ranks inside a cell: its bracket's distinct values and one row for the gap
-    inner = W.partitionBy("variable", "cell").orderBy("low").rowsBetween(W.unboundedPreceding, -1)
-    ranked = (counted.join(F.broadcast(starts), ["variable", "cell"])
-              .withColumn("start", F.col("cell_start") + F.coalesce(F.sum("n").over(inner), F.lit(0)))
-              .withColumn("stop", F.col("start") + F.col("n")))
-
-    wanted = F.array(*[F.struct(F.lit(p).alias("probability")) for p in probs])
-    position = F.col("w.probability") * (F.col("n_total") - 1)
-    below = F.floor(position)
-    above = F.least(below + 1, F.col("n_total") - 1)
-
-    def value_at(rank):
-        return (F.when((F.col("low") == F.col("high")) | (rank == F.col("start")), F.col("low"))
-                .when(rank == F.col("stop") - 1, F.col("high"))
-                .otherwise(F.raise_error(F.lit("quantile rank outside its bracket"))))
-
-    def covers(rank):
-        return (rank >= F.col("start")) & (rank < F.col("stop"))
-
-    hits = (ranked.withColumn("w", F.explode(wanted))
-            .where(covers(below) | covers(above))
-            .select("variable", F.col("w.probability").alias("probability"), "n_total",
-                    F.when(covers(below), value_at(below)).alias("v0"),
-                    F.when(covers(above), value_at(above)).alias("v1"))
-            .groupBy("variable", "probability")
-            .agg(F.max("v0").alias("v0"), F.max("v1").alias("v1"),
-                 F.max("n_total").alias("n_total")))
-    at = F.col("probability") * (F.col("n_total") - 1)
-    weight = at - F.floor(at)
-    return hits.select("variable", "probability",
-                       (F.col("v0") + (F.col("v1") - F.col("v0")) * weight).alias("value"))
-
-
-def quantile_breaks(df: DataFrame, columns: Sequence[str], bins: int = 20,
-                    accuracy: int = 10_000) -> DataFrame:
+            F.col(cell).cast("int").alias("cell"), column(c).alias("x")))
+    return (to_long(df, structs).where(F.col("value").isNotNull())
+            .select("variable", "value.cell", "value.x"))
+
+
+def _splitters(long: DataFrame, keys: Sequence[str]) -> dict[tuple, list[float]]:
+    grid = [i / SPLITTERS for i in range(SPLITTERS + 1)]
+    # a fixed number of values per column and cell
+    rows = long.groupBy(*keys).agg(F.percentile_approx("x", grid, 1_000).alias("points")).collect()
+    return {tuple(r[k] for k in keys): list(r["points"]) for r in rows}
+
+
+def _count(long: DataFrame) -> dict[str, list[_Cell]]:
+    # at most 2 * SPLITTERS + 3 cells per column and refined cell
+    rows = (long.groupBy("variable", "cell")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+            .orderBy("variable", "cell").collect())
+    out: dict[str, list[_Cell]] = {}
+    for r in rows:
+        cells = out.setdefault(r["variable"], [])
+        start = cells[-1].start + cells[-1].rows if cells else 0
+        cells.append(_Cell(r["cell"], r["n"], r["low"], r["high"], start, []))
+    return out
+
+
+def _place(cells: list[_Cell], ranks: Sequence[int], known: dict[int, float]) -> list[_Cell]:
+    """Settle the ranks the counts decide; return the cells that hold the others."""
+    for rank in ranks:
+        cell = next(c for c in cells if c.start <= rank < c.start + c.rows)
+        if cell.low == cell.high or rank == cell.start:
+            known[rank] = cell.low
+        elif rank == cell.start + cell.rows - 1:
+            known[rank] = cell.high
+        else:
+            cell.ranks.append(rank)
+    return [c for c in cells if c.ranks]
+
+
+def _marked(long: DataFrame, cells: dict[str, list[_Cell]]) -> DataFrame:
+    """Only the rows of the given cells."""
+    wanted = None
+    for variable, some in cells.items():
+        term = (F.col("variable") == variable) & F.col("cell").isin([c.number for c in some])
+        wanted = term if wanted is None else wanted | term
+    return long.where(wanted)
+
+
+def _rank_values(long: DataFrame, open_cells: dict[str, list[_Cell]]) -> dict[tuple, float]:
+    """Values at the ranks inside cells of bounded size."""
+    spark = long.sparkSession
+    facts = spark.createDataFrame(
+        [(v, c.number, c.start, c.ranks) for v, cells in open_cells.items() for c in cells],
+        "v string, k int, first bigint, ranks array<bigint>")
+    values = _marked(long, open_cells).groupBy("variable", "cell", "x").agg(F.count(F.lit(1)).alias("n"))
+    w = W.partitionBy("variable", "cell").orderBy("x").rowsBetween(W.unboundedPreceding, W.currentRow)
+    stop = F.col("first") + F.sum("n").over(w)
+    # at most two ranks per column and wanted quantile
+    placed = (values.join(F.broadcast(facts), (F.col("variable") == F.col("v")) & (F.col("cell") == F.col("k")))
+              .withColumn("stop", stop)
+              .select("variable", "x", F.explode(F.filter(
+                  "ranks", lambda r: (r < F.col("stop")) & (r >= F.col("stop") - F.col("n")))).alias("rank")))
+    return {(r["variable"], r["rank"]): r["x"] for r in placed.collect()}
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                    cell_rows: int = CELL_ROWS) -> DataFrame:
+    """``(variable, probability, value)``, linear interpolation, NULL and NaN skipped."""
+    probs = sorted(set(probs))
+    # adding 0.0 makes -0.0 and 0.0 the same bits
+    doubles = {c: column(c).cast("double") + F.lit(0.0) for c in columns}
+    wide = df.select(*[F.when(~F.isnan(x), x).alias(c) for c, x in doubles.items()])
+    rows = wide.count()
+    part = wide if rows <= SAMPLE_ROWS else wide.sample(SAMPLE_ROWS / rows, seed=1)
+    first = _splitters(_long_cells(part, {c: [] for c in columns}), ["variable"])
+    cuts = {c: _cuts(first.get((c,), [])) for c in columns}
+
+    ranks: dict[str, list[int]] = {}
+    totals: dict[str, int] = {}
+    known: dict[str, dict[int, float]] = {}
+    for _ in range(MAX_ROUNDS):
+        long = _long_cells(wide, cuts)
+        counted = _count(long)
+        open_cells: dict[str, list[_Cell]] = {}
+        for v, cells in counted.items():
+            if v not in totals:
+                totals[v] = cells[-1].start + cells[-1].rows
+                below = {math.floor(p * (totals[v] - 1)) for p in probs}
+                ranks[v] = sorted(below | {min(b + 1, totals[v] - 1) for b in below})
+                known[v] = {}
+            left = _place(cells, [r for r in ranks[v] if r not in known[v]], known[v])
+            if left:
+                open_cells[v] = left
+        large = {v: [c for c in cells if c.rows > cell_rows] for v, cells in open_cells.items()}
+        large = {v: cells for v, cells in large.items() if cells}
+        if not large:
+            break
+        sizes = [c.rows for cells in large.values() for c in cells]
+        share = min(1.0, SAMPLE_ROWS * len(sizes) / sum(sizes))
+        again = _marked(long, large)
+        finer = _splitters(again if share >= 1 else again.sample(share, seed=1), ["variable", "cell"])
+        cuts = {v: _cuts([x for c in cells for x in (c.low, c.high, *finer.get((v, c.number), []))])
+                for v, cells in open_cells.items()}
+        wide = wide.select(*[column(v) for v in open_cells])
+    if open_cells:
+        for (v, rank), x in _rank_values(long, open_cells).items():
+            known[v][rank] = x
+
+    out = []
+    for v in ranks:
+        for p in probs:
+            at = p * (totals[v] - 1)
+            k = math.floor(at)
+            low, high = known[v][k], known[v][min(k + 1, totals[v] - 1)]
+            out.append((v, p, low + (high - low) * (at - k)))
+    # as many rows as columns times quantiles
+    return df.sparkSession.createDataFrame(out, "variable string, probability double, value double")
+
+
+def quantile_breaks(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFrame:
     """``(variable, position, break)`` for probabilities i/bins, i = 0..bins."""
     probs = [i * 1.0 / bins for i in range(bins + 1)]
-    return exact_quantiles(df, columns, probs, accuracy).select(
+    return exact_quantiles(df, columns, probs).select(
         "variable", F.round(F.col("probability") * bins).cast("int").alias("position"),
         F.col("value").alias("break"))
 

@@ -84,15 +84,20 @@ def lowest_hashes(df: DataFrame, wanted: Column, keys: Sequence[str], stream: st
               .where((F.col("stop") > F.col("wanted")) & (F.col("stop") - F.col("n") <= F.col("wanted")))
               .select(*[F.col(g).alias("l" + g) for g in groups], F.col("__prefix").alias("__edge"),
                       (F.col("wanted") - (F.col("stop") - F.col("n"))).alias("__left")))
-    # one row per stratum: certain to be one row, or staged so that its true
-    # size decides between a broadcast and a shuffled join
-    limits = stage(limits, "limits") if strata else F.broadcast(limits)
-    same = None
-    for g in groups:
-        term = F.col(g).eqNullSafe(F.col("l" + g))
-        same = term if same is None else same & term
-    # left: a stratum without a limit row is wanted whole
-    marked = hashed.join(limits, same, "left").drop(*["l" + g for g in groups])
+    if strata:
+        # one row per stratum, staged so that its true size decides between a
+        # broadcast and a shuffled join; a stratum without a row is wanted whole
+        same = None
+        for g in groups:
+            term = F.col(g).eqNullSafe(F.col("l" + g))
+            same = term if same is None else same & term
+        marked = hashed.join(stage(limits, "limits"), same, "left").drop(*["l" + g for g in groups])
+    else:
+        # a single limit becomes a constant of the filter
+        limit = limits.first()
+        edge_at, left = (limit["__edge"], limit["__left"]) if limit else (None, None)
+        marked = hashed.withColumns({"__edge": F.lit(edge_at).cast("string"),
+                                     "__left": F.lit(left).cast("bigint")})
     surely = F.col("__edge").isNull() | (F.col("__prefix") < F.col("__edge"))
 
     edge = marked.where(F.col("__prefix") == F.col("__edge"))

@@ -105,6 +105,8 @@ def bin_counts(df: DataFrame, y: str, factors: Sequence[str] = (),
 
 def with_shares(counts: DataFrame) -> DataFrame:
     """Add ``pct_1`` and ``pct_0``: shares of all positives and all negatives."""
+    # read for the rows and for the totals: staged, or the table would be scanned twice
+    counts = stage(counts, "counts")
     # one row per variable
     totals = counts.groupBy("variable").agg(F.sum("pos").alias("__pos"), F.sum("neg").alias("__neg"))
     return (counts.join(F.broadcast(totals), "variable")

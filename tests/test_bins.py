@@ -75,8 +75,10 @@ def test_cut_edges_and_repeated_breaks(spark):
     assert bins == [1, 1, 1, 2, 2, 3]
 
 
-@pytest.mark.parametrize("accuracy", [50, 10_000])
-def test_quantiles_equal_a_sort(spark, accuracy):
+@pytest.mark.parametrize("cell_rows,splitters,sample_rows", [(1_000_000, 256, 200_000), (3, 4, 50), (40, 8, 300)])
+def test_quantiles_equal_a_sort(spark, monkeypatch, cell_rows, splitters, sample_rows):
+    monkeypatch.setattr(quantile, "SPLITTERS", splitters)
+    monkeypatch.setattr(quantile, "SAMPLE_ROWS", sample_rows)
     rng = random.Random(5)
     hot = [7.0] * 700
     values = {"a": [rng.random() for _ in range(2000)], "b": hot + [rng.gauss(0, 9) for _ in range(1300)],
@@ -86,7 +88,7 @@ def test_quantiles_equal_a_sort(spark, accuracy):
                                "a double, b double, c double, d double, e double").repartition(7)
     probs = [i / 20 for i in range(21)]
     got = {}
-    for r in quantile.exact_quantiles(df, list(values), probs, accuracy).collect():
+    for r in quantile.exact_quantiles(df, list(values), probs, cell_rows).collect():
         got[r.variable, r.probability] = r.value
     for name, column in values.items():
         present = [v for v in column if v is not None]
