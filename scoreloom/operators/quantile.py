@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from scoreloom.functions.columns import INF, column
 from scoreloom.functions.reshape import to_long
 
-SPLITTERS = 256
-SAMPLE_ROWS = 200_000
-CELL_ROWS = 1_000_000
+SPLITTERS = 128
+SAMPLE_ROWS = 50_000
+CELL_ROWS = 20_000_000
 MAX_ROUNDS = 12
 
 
@@ -163,6 +163,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
                 for v, cells in open_cells.items()}
         wide = wide.select(*[column(v) for v in open_cells])
     if open_cells:
+        narrow = wide.select(*[column(v) for v in open_cells])
+        long = _long_cells(narrow, {v: cuts[v] for v in open_cells})
         for (v, rank), x in _rank_values(long, open_cells).items():
             known[v][rank] = x
 
