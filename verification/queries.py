@@ -413,7 +413,7 @@ def merge_groups_streamed(spark, d):
 
 @query
 def woe_order(spark, d):
-    factors = _strong_woe(spark, d).where(F.col("variable").isin(*STRONG_FACTORS))
+    factors = woe.woe_table(woe.bin_counts(strong_lines(spark, d), "y", STRONG_FACTORS))
     return rounded(woe.woe_order(factors).select("variable", "bin", "rank", "woe"))
 
 
