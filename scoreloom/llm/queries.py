@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import langid, mixing, packing, pivots, toxicity
+from scoreloom.llm import (fingerprints, hilbert, langid, mixing, packing, pivots, tokentrees, toxicity,
+                           urlfilter, weaklabels)
 from scoreloom.llm.common import id_remainder, read
 
 
@@ -21,10 +22,22 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "p.lang_pred", "p.score", "p.rejected"))
 
 
+def op3_url_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(read(spark, sf_dir, "pages"))
+
+
 def op4_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.simhash_groups(read(spark, sf_dir, "documents"))
 
 
+def op5_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return (mixing.mix(docs, block_col="block", hash_col="order_hash")
@@ -39,4 +52,14 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_language, op4_pivot_simhash, op7_mixing, op9_toxicity)}
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weaklabels.quality_scores(read(spark, sf_dir, "documents"))
+
+
+def op10_token_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokentrees.edited_counts(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_packing, op2_language, op3_url_words, op4_pivot_simhash, op5_hilbert, op6_fingerprints, op7_mixing, op8_quality, op9_toxicity,
+    op10_token_trees)}

@@ -17,6 +17,12 @@ _LETTERS = np.full(256, 32, np.uint8)
 _LETTERS[97:123] = np.arange(97, 123)
 _LETTERS[65:91] = np.arange(97, 123)
 _LETTERS[128:] = np.arange(128, 256)
+#: Shapes: small and large letters and digits are one class each, marks stay, white space is a blank.
+_SHAPES = np.arange(256).astype(np.uint8)
+_SHAPES[97:123] = _SHAPES[128:] = ord("a")
+_SHAPES[65:91] = ord("A")
+_SHAPES[48:58] = ord("0")
+_SHAPES[9:14] = 32
 
 
 def runs(texts: list[bytes]) -> Iterator[tuple[int, int]]:
@@ -31,16 +37,27 @@ def runs(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def _blanked(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The letters of all texts with a blank after each, and the text number of each byte."""
+def _blanked(texts: list[bytes], table: np.ndarray = _LETTERS) -> tuple[np.ndarray, np.ndarray]:
+    """The mapped bytes of all texts with a blank after each, and the text number of each byte."""
     sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
-    letters = _LETTERS[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
+    letters = table[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
     return letters, np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, hash, byte length) of every word; words are runs of letters."""
-    letters, owner = _blanked(texts)
+    return _spans(*_blanked(texts))
+
+
+def shape_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for the shapes of words between white space, runs of one class counting once."""
+    letters, owner = _blanked(texts, _SHAPES)
+    keep = np.ones(len(letters), bool)
+    keep[1:] = letters[1:] != letters[:-1]
+    return _spans(letters[keep], owner[keep])
+
+
+def _spans(letters: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inside = np.zeros(len(letters) + 2, bool)
     inside[1:-1] = letters != 32
     edge = np.flatnonzero(inside[1:] != inside[:-1])
