@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -9,16 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder the cluster names in ``spark.checkpoint.dir``, else the session's checkpoint directory.
 
-    Only when neither the setting nor a checkpoint directory exists (tests,
-    notebooks in local mode) is a folder made and registered with the session.
+    Where neither is set, a session in local mode gets a folder of its own, registered with the session
+    and removed when Python ends. A cluster session without a shared folder is an error: each executor
+    would write to its own disk, and later reads would miss those files.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = spark.sparkContext.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="scoreloom-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
