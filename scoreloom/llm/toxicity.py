@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from scoreloom.functions.staging import stage
 from scoreloom.llm.common import col
@@ -70,7 +71,7 @@ def _distinct(texts: list[bytes], known: np.ndarray) -> tuple[np.ndarray, np.nda
     return pairs // len(known), pairs % len(known)
 
 
-@F.pandas_udf("array<bigint>")
+@F.pandas_udf(ArrayType(LongType()))
 def _word_sets(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in batches:
         texts, out = _encoded(batch), []
