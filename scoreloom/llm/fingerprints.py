@@ -18,8 +18,8 @@ from scoreloom.llm.common import col, shuffle_partitions
 
 SHINGLE = 5
 BLANKS = r"[\x20\x09-\x0D]+"
-#: Terms counted in 16-bit lanes before the lanes are added up.
-LANE_TERMS = 60_000
+#: Terms counted in 16-bit lanes before the lanes are added up; the top lane has a sign bit to spare.
+LANE_TERMS = 32_767
 LANES = 16
 _LANE_MASK = 0x0001000100010001
 
