@@ -2,8 +2,9 @@
 
 Factor likelihood ``(n_level_label + laplace) / (n_label + laplace * levels)``,
 numeric likelihood Gaussian with the label's mean and sample deviation (replaced
-by ``min_sdev`` when at or below ``eps_sdev``), prior ``n_label / n``. A missing
-cell and a level never seen in training contribute nothing.
+by ``min_sdev`` when at or below ``eps_sdev``), prior ``n_label / n``. A level that was
+seen, but never with one of the labels, has likelihood ``min_prob`` there when nothing smooths
+it. A missing cell and a level never seen in training contribute nothing.
 """
 
 from __future__ import annotations
@@ -68,7 +69,7 @@ def _gaussian(x: Column, mean: float | None, sd: float | None, min_sdev: float,
 
 
 def bayes_score(df: DataFrame, model: BayesTables, laplace: float = 0.0, min_sdev: float = 0.001,
-                eps_sdev: float = 0.0) -> DataFrame:
+                eps_sdev: float = 0.0, min_prob: float = 0.001) -> DataFrame:
     """Add ``p1``. Each factor is one lookup join on its level table.
 
     The level tables are staged, so the planner broadcasts each one only when
@@ -91,8 +92,9 @@ def bayes_score(df: DataFrame, model: BayesTables, laplace: float = 0.0, min_sde
             - _gaussian(x, m["mean_0"], m["sd_0"], min_sdev, eps_sdev), F.lit(0.0))
     for i, c in enumerate(model.factors):
         levels = sizes.get(c, 0)
-        gain = (F.ln(F.try_divide(F.col("n_1") + laplace, F.lit(label["n_1"] + laplace * levels)))
-                - F.ln(F.try_divide(F.col("n_0") + laplace, F.lit(label["n_0"] + laplace * levels))))
+        shares = [(F.col(n) + laplace) / F.lit(label[n] + laplace * levels) for n in ("n_1", "n_0")]
+        one, zero = (F.ln(F.when(s > 0, s).otherwise(F.lit(min_prob))) for s in shares)
+        gain = one - zero
         table = model.levels.where(F.col("variable") == c).select(
             F.col("level").alias("__lv%d" % i), gain.alias("__ll%d" % i))
         df = df.join(table, column(c).cast("string") == F.col("__lv%d" % i), "left")

@@ -185,26 +185,16 @@ def _ks_and_size(steps: DataFrame) -> DataFrame:
                        F.col("b.idx").alias("ks_idx"))
 
 
-def thin_around(size: int, centre: int, wanted: int = 20) -> list[int]:
-    """About ``wanted`` row numbers of ``size``, evenly spaced on both sides of ``centre``."""
-    half = wanted // 2
-    if centre <= half:
-        left, right = list(range(centre)), wanted - centre
-    elif size - centre <= half:
-        left_n = wanted - (size - centre)
-        left = [int(i * (centre / left_n)) for i in range(left_n)]
-        return left + list(range(centre, size))
-    else:
-        left, right = [int(i * (centre / half)) for i in range(half)], half
-    step = (size - centre) / right
-    return left + [centre] + [int(centre + (i + 1) * step) for i in range(right)]
+def opens_run(idx: Column, size: int, wanted: int) -> Column:
+    """Whether row ``idx`` (from 0) is the first of one of ``wanted`` runs that cut ``size`` rows evenly."""
+    return F.pmod(idx * wanted, F.lit(size)) < wanted
 
 
 def thinned_steps(steps: DataFrame, wanted: int = 20) -> DataFrame:
-    """About ``wanted`` threshold rows around the KS row, all of a short table."""
+    """The first row of each of ``wanted`` even runs of the thresholds, and the KS row; all of a short table."""
     shape = _ks_and_size(steps).first()
     if shape["size"] > wanted + 10:
-        steps = steps.where(F.col("idx").isin(thin_around(shape["size"], shape["ks_idx"], wanted)))
+        steps = steps.where(opens_run(F.col("idx"), shape["size"], wanted) | (F.col("idx") == shape["ks_idx"]))
     rated = _with_rates(steps).withColumn("tpr_fpr", F.col("tpr") - F.col("fpr"))
     return rated.select("idx", F.col("p1").alias("threshold"), "tps", "fps", "tns", "fns",
                         *RATE_NAMES, "tpr_fpr")

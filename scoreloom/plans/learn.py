@@ -56,13 +56,13 @@ def import_data(spark: SparkSession, config: LearnConfig, df: DataFrame | None =
     if df is not None:
         if types is None:
             raise ValueError("a table needs declared types")
-        typed = tables.as_declared(df, types)
+        typed = tables.as_declared(df, types, config.id_name)
     elif types is None:
         typed, types = delimited.read_inferred(spark, config.path, config.separator,
-                                               missing=config.missing)
+                                               missing=config.missing, id_name=config.id_name)
     else:
         typed = delimited.read_declared(spark, config.path, types, config.separator,
-                                        missing=config.missing)
+                                        missing=config.missing, id_name=config.id_name)
     audits = [audit_volume(typed, config.id_name, config.target_name, min_rows=1)]
     if config.id_name:
         audits.append(audit_id(typed, config.id_name))

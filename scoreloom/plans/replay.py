@@ -59,9 +59,10 @@ def import_data(spark: SparkSession, replay: Replay, *, df: DataFrame | None = N
     if replay.target_name and replay.target_name not in have and not need_target:
         types.pop(replay.target_name)
     if df is None:
-        typed = delimited.read_declared(spark, path, types, replay.separator, missing=replay.missing)
+        typed = delimited.read_declared(spark, path, types, replay.separator, missing=replay.missing,
+                                        id_name=replay.id_name)
     else:
-        typed = tables.as_declared(df, types)
+        typed = tables.as_declared(df, types, replay.id_name)
     audits = []
     if replay.id_name:
         audits.append(audit_id(typed, replay.id_name))

@@ -33,7 +33,7 @@ def _blank_to_null(df: DataFrame, spellings: Sequence[str]) -> DataFrame:
 
 def read_declared(spark: SparkSession, path: str, types: dict[str, str], sep: str = ",",
                   header: bool = True, names: Sequence[str] | None = None,
-                  missing: Sequence[str] = MISSING_SPELLINGS) -> DataFrame:
+                  missing: Sequence[str] = MISSING_SPELLINGS, id_name: str | None = None) -> DataFrame:
     """Read text cells, turn every missing spelling to NULL, cast as declared.
 
     With a header the columns are found by name; without one they take ``names``
@@ -48,11 +48,12 @@ def read_declared(spark: SparkSession, path: str, types: dict[str, str], sep: st
     absent = [c for c in types if c not in raw.columns]
     if absent:
         raise ValueError(f"declared columns are absent: {absent}")
-    return as_declared(_blank_to_null(raw.select(*[column(c) for c in types]), missing), types)
+    return as_declared(_blank_to_null(raw.select(*[column(c) for c in types]), missing), types, id_name)
 
 
 def read_inferred(spark: SparkSession, path: str, sep: str = ",", header: bool = True,
-                  missing: Sequence[str] = MISSING_SPELLINGS) -> tuple[DataFrame, dict[str, str]]:
+                  missing: Sequence[str] = MISSING_SPELLINGS,
+                  id_name: str | None = None) -> tuple[DataFrame, dict[str, str]]:
     """Infer the kind of each column: numeric when every present cell is a number.
 
     One aggregate over the text decides all columns, because Spark's own
@@ -65,7 +66,7 @@ def read_inferred(spark: SparkSession, path: str, sep: str = ",", header: bool =
         F.count_if(column(c).isNotNull() & column(c).try_cast("double").isNull()).alias("n%d" % i)
         for i, c in enumerate(text.columns)]).first()
     types = {c: NUMERIC if found[i] == 0 else FACTOR for i, c in enumerate(text.columns)}
-    return as_declared(text, types), types
+    return as_declared(text, types, id_name), types
 
 
 def dictionary_rows(spark: SparkSession, path: str) -> DataFrame:

@@ -109,11 +109,10 @@ def test_bands_and_confusion(data, scored):
     assert half["Total"].rate == f"({fp + fn} / {len(data)})"
 
 
-@pytest.mark.parametrize("size,centre", [(275, 118), (275, 3), (275, 270), (40, 20)])
-def test_thinning_keeps_the_centre(size, centre):
-    picked = score.thin_around(size, centre)
-    assert centre in picked and 18 <= len(picked) <= 22
-    assert all(0 <= i <= size for i in picked)
+@pytest.mark.parametrize("size", [31, 40, 100, 275])
+def test_thinning_takes_the_first_row_of_each_run(spark, size):
+    picked = {r.id for r in spark.range(size).where(score.opens_run(F.col("id"), size, 20)).collect()}
+    assert picked == {next(i for i in range(size) if i * 20 // size == run) for run in range(20)}
 
 
 def test_one_sided_labels_do_not_fail(spark):

@@ -74,6 +74,16 @@ def test_csv_without_header_and_inferred(spark, tmp_path):
         delimited.read_inferred(spark, str(path), header=False)
 
 
+def test_large_ids_stay_apart(spark):
+    big = [2 ** 53, 2 ** 53 + 1, 10 ** 15 + 1]
+    want = sorted((str(i),) for i in big)
+    for kind in ("bigint", "string"):
+        df = spark.createDataFrame([(i,) for i in big], "i bigint").select(F.col("i").cast(kind).alias("i"))
+        assert rows(tables.as_declared(df, {"i": "numeric"}, "i")) == want
+    odd = spark.createDataFrame([("1.0",), ("0.5",), ("x",), ("NaN",), (None,)], "i string")
+    assert [r.i for r in tables.as_declared(odd, {"i": "numeric"}, "i").collect()] == ["1", "0.5", None, None, None]
+
+
 def test_typing_and_nan(spark):
     df = spark.createDataFrame([(1, float("nan"), "x"), (2, 1.5, "7")], "i int, d double, s string")
     out = tables.as_declared(df, {"d": "numeric", "s": "numeric", "i": "factor"})

@@ -415,20 +415,10 @@ _KS = """ks AS (SELECT tps / ap::DOUBLE - fps / an::DOUBLE AS gap, p1, idx FROM
 ORACLES["ks_exact"] = f"""WITH {_STEPS}, {_KS}
 SELECT {r('gap')} AS ks, {r('p1')} AS ks_threshold, idx AS ks_idx FROM ks"""
 ORACLES["ks_thinned"] = f"""WITH {_STEPS}, {_KS},
-z AS (SELECT (SELECT count(*) FROM steps) AS size, (SELECT idx FROM ks) AS c),
-k AS (SELECT i FROM range(21) g(i)),
-pick AS (
-  SELECT c AS i FROM z
-  UNION SELECT i FROM z, k WHERE c <= 10 AND i < c
-  UNION SELECT floor(c + (i + 1) * ((size - c) / (20 - c)::DOUBLE)) FROM z, k WHERE c <= 10 AND i < 20 - c
-  UNION SELECT floor(i * (c / 10.0::DOUBLE)) FROM z, k WHERE c > 10 AND size - c > 10 AND i < 10
-  UNION SELECT floor(c + (i + 1) * ((size - c) / 10.0::DOUBLE)) FROM z, k WHERE c > 10 AND size - c > 10 AND i < 10
-  UNION SELECT floor(i * (c / (20 - (size - c))::DOUBLE)) FROM z, k
-        WHERE c > 10 AND size - c <= 10 AND i < 20 - (size - c)
-  UNION SELECT c + i FROM z, k WHERE c > 10 AND size - c <= 10 AND c + i < size)
+pick AS (SELECT min(idx) AS i FROM steps GROUP BY (idx * 20) // (SELECT count(*) FROM steps) UNION SELECT idx FROM ks)
 SELECT idx, {r('p1')} AS threshold, tps::BIGINT AS tps, fps::BIGINT AS fps, tns, fns,
        {r('tpr - fpr')} AS tpr_fpr
-FROM {_rates('steps')}, z WHERE size <= 30 OR idx IN (SELECT i FROM pick)"""
+FROM {_rates('steps')} WHERE (SELECT count(*) FROM steps) <= 30 OR idx IN (SELECT i FROM pick)"""
 
 
 def _line(actual: str, zero: str, one: str, wrong: str, of: str) -> str:
@@ -529,19 +519,34 @@ def _nb_numeric(c: str) -> str:
 _NB_MOMENTS = ", ".join(
     f"avg({c}) FILTER (WHERE y = {k}) AS mean_{k}_{c}, stddev_samp({c}) FILTER (WHERE y = {k}) AS sd_{k}_{c}"
     for c in CREDIT_NUMERIC for k in (0, 1))
-_NB_LEVELS = ", ".join(
-    f"""l_{c} AS (SELECT {c} AS lv, ln((count(*) FILTER (WHERE y = 1) + 1) / (max(n1) + 1 * max(k))::DOUBLE)
-      - ln((count(*) FILTER (WHERE y = 0) + 1) / (max(n0) + 1 * max(k))::DOUBLE) AS ll
+
+
+def _nb_levels(laplace: float) -> str:
+    def share(k: int) -> str:
+        return (f"coalesce(nullif((count(*) FILTER (WHERE y = {k}) + {laplace}) / (max(n{k}) + {laplace} * max(k))::DOUBLE, 0), "
+                "0.001::DOUBLE)")
+    return ", ".join(
+        f"""l_{c} AS (SELECT {c} AS lv, ln({share(1)}) - ln({share(0)}) AS ll
     FROM miss, nn, (SELECT count(DISTINCT {c}) AS k FROM miss) WHERE {c} IS NOT NULL GROUP BY {c})"""
-    for c in CREDIT_FACTORS)
-ORACLES["nb_score"] = f"""WITH {MISSING_SQL},
+        for c in CREDIT_FACTORS)
+
+
+def _nb_score(laplace: float, source: str) -> str:
+    return f"""WITH {MISSING_SQL.replace('miss AS', 'kept AS', 1) if source else MISSING_SQL}{source},
 nn AS (SELECT sum(y) AS n1, count(*) - sum(y) AS n0 FROM miss),
-mo AS (SELECT {_NB_MOMENTS} FROM miss), {_NB_LEVELS},
+mo AS (SELECT {_NB_MOMENTS} FROM miss), {_nb_levels(laplace)},
 odds AS (SELECT o_orderkey, ln(n1 / n0::DOUBLE) + {' + '.join(_nb_numeric(c) for c in CREDIT_NUMERIC)}
   + {' + '.join(f'coalesce(l_{c}.ll, 0)' for c in CREDIT_FACTORS)} AS odds
   FROM miss {' '.join(f'LEFT JOIN l_{c} ON {c} = l_{c}.lv' for c in CREDIT_FACTORS)}, nn, mo)
 SELECT o_orderkey, {r('1 / (1 + exp(-odds))')} AS p1 FROM odds"""
 
+
+ORACLES["nb_score"] = _nb_score(1, "")
+#: A level that one label never has: buildings are taken from the positives.
+ORACLES["nb_score_unsmoothed"] = _nb_score(
+    0, ", miss AS (SELECT * REPLACE (CASE WHEN y = 1 AND c_mktsegment = 'BUILDING' THEN 'MACHINERY' "
+       "ELSE c_mktsegment END AS c_mktsegment) FROM kept)")
+
 _DIST = " + ".join(f"({c} - c_{c}) * ({c} - c_{c})" for c in LINE_NUMERIC)
 _ASSIGNED = f"""centre AS (
   SELECT row_number() OVER (ORDER BY l_linenumber) - 1 AS k, {', '.join(

@@ -542,6 +542,15 @@ def nb_score(spark, d):
     return rounded(bayes.bayes_score(df, model, laplace=1.0).select("o_orderkey", "p1"))
 
 
+@query
+def nb_score_unsmoothed(spark, d):
+    moved = (F.col("y") == 1) & (F.col("c_mktsegment") == "BUILDING")
+    df = credit_missing(spark, d).withColumn(
+        "c_mktsegment", F.when(moved, "MACHINERY").otherwise(F.col("c_mktsegment")))
+    model = bayes.bayes_tables(df, "y", CREDIT_NUMERIC, CREDIT_FACTORS)
+    return rounded(bayes.bayes_score(df, model, laplace=0.0).select("o_orderkey", "p1"))
+
+
 def _centres(spark, d) -> list[list[float]]:
     """Seven centres from the data: one per line number."""
     rows = table(spark, d, "lineitem").groupBy("l_linenumber").agg(
