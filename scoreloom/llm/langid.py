@@ -112,7 +112,8 @@ def fit_languages(labelled: DataFrame, id_col: str, text_col: str, lang_col: str
     sizes = labelled.where(col(id_col).isNotNull() & col(lang_col).isNotNull()).groupBy(
         col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
     share = F.least(F.lit(1.0), F.lit(2.0 * sample) / F.col("n"))
-    near = rows.join(sizes, "lang").where((F.col("h") / F.lit(2.0 ** 64) + 0.5) <= share)
+    # one row per language, as in the model itself: the threshold then acts before rows are dealt by language
+    near = rows.join(F.broadcast(sizes), "lang").where((F.col("h") / F.lit(2.0 ** 64) + 0.5) <= share)
     picked = near.withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy("h", "text"))).where(
         F.col("nth") <= sample)
 
