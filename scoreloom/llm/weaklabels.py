@@ -16,7 +16,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.functions.staging import stage
 from scoreloom.llm.common import col
 from scoreloom.llm.textarrays import runs, shape_hashes, word_hashes
 
@@ -170,12 +169,12 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     and empty texts have no words: the heuristics vote bad on them. Repeated rows and null ids are
     scored each by itself. An empty table gives an empty one; further columns are ignored.
 
-    The driver gets one row per vote pattern (at most 3 ** heuristics) and the sample's slots.
+    The driver gets one row per vote pattern (at most 3 ** heuristics) and the sample's slots; the sample's
+    texts stay in the tasks that read them. Votes are taken anew where they are needed, as a staged copy of
+    all texts would cost more.
     """
     rows = docs.select(col(id_col).alias("doc_id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = stage(votes(rows, "text").withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), F.xxhash64("text"))),
-                 "votes")
-    counted = rows.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()
+    counted = votes(rows, "text").groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()
     patterns = np.array([r["votes"] for r in counted], np.int64).reshape(-1, len(HEURISTICS))
     model = fit_label_model(patterns, np.array([r["n"] for r in counted], float))
     edge = min(1.0, sample / max(sum(r["n"] for r in counted), 1))
@@ -188,10 +187,13 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 cut = np.searchsorted(owner, np.arange(1, b - a))
                 slots += np.split(slot.astype(np.int32), cut)
                 values += np.split(value.astype(np.float32), cut)
-            yield pd.DataFrame({"votes": batch["votes"], "slots": slots, "values": values})
+            yield pd.DataFrame({"h": batch["h"], "votes": batch["votes"], "slots": slots, "values": values})
 
-    picked = (rows.where((F.col("h") / F.lit(2.0 ** 64) + 0.5) <= edge).orderBy("h").limit(sample)
-              .mapInPandas(features, "votes array<tinyint>, slots array<int>, values array<float>").toPandas())
+    near = (rows.withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), F.xxhash64("text")))
+            .where((F.col("h") / F.lit(2.0 ** 64) + 0.5) <= edge))
+    picked = (votes(near, "text")
+              .mapInPandas(features, "h long, votes array<tinyint>, slots array<int>, values array<float>")
+              .orderBy("h").limit(sample).toPandas())
     targets = model.posterior(np.array(picked["votes"].tolist(), np.int64).reshape(-1, len(HEURISTICS)))
     none = [np.empty(0)]
     weights, bias = fit_scorer(np.repeat(np.arange(len(picked)), [len(s) for s in picked["slots"]]),
@@ -210,5 +212,5 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                                               .reshape(-1, len(HEURISTICS))),
                                 "score": 1 / (1 + np.exp(-np.clip(z, -35, 35)))})
 
-    return (rows.withColumn("p", score("text", "votes"))
+    return (votes(rows, "text").withColumn("p", score("text", "votes"))
             .select("doc_id", "votes", "p.weak_label", "p.score", (F.col("p.score") >= 0.5).cast("int").alias("predicted")))
