@@ -23,6 +23,8 @@ from scoreloom.llm.common import col
 #: Words the splitter knows at most, the most frequent ones; they are sent to every task.
 LEXICON = 50_000
 WORD_LETTERS = (2, 20)
+#: Levels of frequency for each doubling of a word's count.
+LEVELS = 64
 #: Seed words count as if seen so often, so that they can be split off.
 SEED_COUNT = 1000
 SLOTS = 1 << 16
@@ -110,12 +112,25 @@ class Lexicon:
 
 
 def learn_lexicon(pages: DataFrame, html_col: str, seeds: Sequence[str], size: int = LEXICON) -> Lexicon:
-    """Word counts of all page texts: the ``size`` most frequent words, and the seed words."""
+    """Word counts of all page texts: the most frequent words, at most ``size``, and the seed words.
+
+    Words are taken by whole levels of frequency, the highest first; the first level that would go
+    beyond ``size`` and all below it stay out. So the driver gets the levels and the chosen words, at any
+    number of partitions.
+    """
     least, most = WORD_LETTERS
     words = (pages.select(F.explode(F.split(F.lower(col(html_col).cast("string")), r"(?s)<[^>]*>|[^\p{L}]+")).alias("w"))
              .where(F.length("w").between(least, most)))
-    counts = {r["w"]: r["n"] for r in words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), "w").limit(size).collect()}
+    level = F.floor(F.log2("n") * LEVELS).cast("int")
+    counted = stage(words.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "lexicon")
+    held, lowest = 0, None
+    for r in sorted(counted.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
+        held += r["n"]
+        if held > size:
+            break
+        lowest = r["level"]
+    chosen = counted.where(level >= lowest).collect() if lowest is not None else []
+    counts = {r["w"]: r["n"] for r in chosen}
     for seed in seeds:
         counts[seed] = counts.get(seed, 0) + SEED_COUNT
     return Lexicon.of(counts)

@@ -94,6 +94,14 @@ def test_url_odd_rows(spark):
     assert urlfilter.judge(df.limit(0)).count() == 0
 
 
+def test_lexicon_keeps_whole_levels(spark):
+    html = " ".join(["often"] * 9 + ["some"] * 5 + ["other"] * 5 + ["rare"])
+    df = spark.createDataFrame([(f"<b>{html}</b>",), (None,)], "html string")
+    for size, words in ((4, {"often", "some", "other", "rare"}), (3, {"often", "some", "other"}), (2, {"often"}), (0, set())):
+        assert set(urlfilter.learn_lexicon(df, "html", [], size).costs) == words
+    assert set(urlfilter.learn_lexicon(df.limit(0), "html", ["seed"]).costs) == {"seed"}
+
+
 def plain_search(rows, queries_, k=20):
     ids = np.array([i for i, _ in rows])
     values = np.array([v for _, v in rows], np.float64)
