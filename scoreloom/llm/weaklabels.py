@@ -185,20 +185,19 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for a, b in runs(texts):
                 owner, slot, value = _features(texts[a:b])
                 cut = np.searchsorted(owner, np.arange(1, b - a))
-                slots += np.split(slot.astype(np.int32), cut)
-                values += np.split(value.astype(np.float32), cut)
+                slots += [x.tobytes() for x in np.split(slot.astype("<u2"), cut)]
+                values += [x.tobytes() for x in np.split(value.astype("<f4"), cut)]
             yield pd.DataFrame({"h": batch["h"], "votes": batch["votes"], "slots": slots, "values": values})
 
     near = (rows.withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), F.xxhash64("text")))
             .where((F.col("h") / F.lit(2.0 ** 64) + 0.5) <= edge))
     picked = (votes(near, "text")
-              .mapInPandas(features, "h long, votes array<tinyint>, slots array<int>, values array<float>")
+              .mapInPandas(features, "h long, votes array<tinyint>, slots binary, values binary")
               .orderBy("h").limit(sample).toPandas())
     targets = model.posterior(np.array(picked["votes"].tolist(), np.int64).reshape(-1, len(HEURISTICS)))
-    none = [np.empty(0)]
-    weights, bias = fit_scorer(np.repeat(np.arange(len(picked)), [len(s) for s in picked["slots"]]),
-                               np.concatenate(none + picked["slots"].tolist()).astype(np.int64),
-                               np.concatenate(none + picked["values"].tolist()), targets)
+    slots, values = (np.frombuffer(b"".join(picked[c]), kind) for c, kind in (("slots", "<u2"), ("values", "<f4")))
+    owner = np.repeat(np.arange(len(picked)), [len(s) // 2 for s in picked["slots"]])
+    weights, bias = fit_scorer(owner, slots.astype(np.int64), values.astype(float), targets)
 
     @F.pandas_udf("weak_label double, score double")
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
