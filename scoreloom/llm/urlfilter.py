@@ -1,7 +1,8 @@
 """URL filtering by rules, and by the words that host and path are made of.
 
-Names such as ``cheappills`` are split by a unigram Viterbi search over the words of the pages
-themselves. Multinomial naive Bayes then weighs the words of host and path. Its examples are the
+Names such as ``cheappills`` are split by a unigram Viterbi search over all words of the pages
+themselves: the parts of every distinct name meet the whole count table in a join, so no task and
+not the driver holds a lexicon. Multinomial naive Bayes then weighs the words of host and path. Its examples are the
 pages whose words include a seed word; words that keep company with them get weight of
 their own.
 """
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from scoreloom.functions.staging import stage
 from scoreloom.llm.common import col
 
-#: Words the splitter knows at most, the most frequent ones; they are sent to every task.
+#: Words that ``learn_lexicon`` collects at most, the most frequent ones; ``judge`` counts on all words.
 LEXICON = 50_000
 WORD_LETTERS = (2, 20)
 #: Levels of frequency for each doubling of a word's count.
@@ -31,8 +32,8 @@ SLOTS = 1 << 16
 SMOOTHING = 0.5
 #: Log odds of block before any word is seen: even, as the examples are no fair sample of the web.
 PRIOR = 0.0
-#: Split names a task remembers at most.
-REMEMBERED = 100_000
+#: Names with more than this share of all occurrences, so 1,000 at most, are split beside the tasks' rows.
+OFTEN = 0.001
 BLOCK, ALLOW = "block", "allow"
 
 # The rules of the contract, as (verdict, host, path).
@@ -86,8 +87,9 @@ class Lexicon:
     total: float
 
     @classmethod
-    def of(cls, counts: dict[str, int]) -> Lexicon:
-        total = float(sum(counts.values())) or 1.0
+    def of(cls, counts: dict[str, int], total: float | None = None) -> Lexicon:
+        """Costs of the given words; ``total`` is the count of all words if these are a part."""
+        total = float(sum(counts.values()) if total is None else total) or 1.0
         return cls({w: float(np.log(total / n)) for w, n in counts.items()}, total)
 
     def split(self, name: str) -> list[str]:
@@ -111,18 +113,25 @@ class Lexicon:
         return out[::-1]
 
 
+def word_counts(pages: DataFrame, html_col: str, seeds: Sequence[str] = ()) -> DataFrame:
+    """``(w, n)``: how often each word is in the page texts, seed words ``SEED_COUNT`` times more; staged."""
+    least, most = WORD_LETTERS
+    words = (pages.select(F.explode(F.split(F.lower(col(html_col).cast("string")), r"(?s)<[^>]*>|[^\p{L}]+")).alias("w"))
+             .where(F.length("w").between(least, most)).select("w", F.lit(1).cast("long").alias("n")))
+    if seeds:
+        words = words.unionByName(pages.sparkSession.createDataFrame([(w, SEED_COUNT) for w in seeds], "w string, n long"))
+    return stage(words.groupBy("w").agg(F.sum("n").alias("n")), "lexicon")
+
+
 def learn_lexicon(pages: DataFrame, html_col: str, seeds: Sequence[str], size: int = LEXICON) -> Lexicon:
-    """Word counts of all page texts: the most frequent words, at most ``size``, and the seed words.
+    """A lexicon of bounded size: the most frequent words of all page texts, at most ``size``, and the seed words.
 
     Words are taken by whole levels of frequency, the highest first; the first level that would go
     beyond ``size`` and all below it stay out. So the driver gets the levels and the chosen words, at any
     number of partitions.
     """
-    least, most = WORD_LETTERS
-    words = (pages.select(F.explode(F.split(F.lower(col(html_col).cast("string")), r"(?s)<[^>]*>|[^\p{L}]+")).alias("w"))
-             .where(F.length("w").between(least, most)))
     level = F.floor(F.log2("n") * LEVELS).cast("int")
-    counted = stage(words.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "lexicon")
+    counted = word_counts(pages, html_col)
     held, lowest = 0, None
     for r in sorted(counted.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
         held += r["n"]
@@ -139,25 +148,69 @@ def learn_lexicon(pages: DataFrame, html_col: str, seeds: Sequence[str], size: i
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def segmented(host: Column, path: Column, lexicon: Lexicon) -> Column:
-    """The words of host and path, in order, repeats kept."""
+def _names(host: Column, path: Column) -> Column:
+    """The runs of letters of host and path, in order."""
     @F.pandas_udf("array<string>")
-    def split(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        known: dict[str, list[str]] = {}
+    def found(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for hosts, paths in batches:
-            out = []
-            for h, p in zip(hosts, paths):
-                words = []
-                for name in _LETTERS.findall(h) + _LETTERS.findall(p.lower()):
-                    if name not in known:
-                        if len(known) > REMEMBERED:
-                            known.clear()
-                        known[name] = lexicon.split(name)
-                    words += known[name]
-                out.append(words)
-            yield pd.Series(out)
+            yield pd.Series([_LETTERS.findall(h) + _LETTERS.findall(p.lower()) for h, p in zip(hosts, paths)], dtype=object)
+
+    return found(host, path)
+
+
+def _parts(name: Column) -> Column:
+    """The different parts of a name that have a word's length."""
+    least, most = WORD_LETTERS
 
-    return split(host, path)
+    @F.pandas_udf("array<string>")
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for names in batches:
+            yield pd.Series([list({n[i:i + size] for size in range(least, most + 1) for i in range(len(n) - size + 1)})
+                             for n in names], dtype=object)
+
+    return found(name)
+
+
+def split_names(names: DataFrame, counts: DataFrame) -> DataFrame:
+    """Distinct names (column ``name``) with their cheapest cut ``parts`` under all words of ``counts (w, n)``.
+
+    A name meets each word that it holds by a join, at most 19 for each of its letters, so the search
+    over these is the search over the whole table.
+    """
+    total = float(counts.agg(F.sum("n")).first()[0] or 0)
+    none = F.lit(None).cast("struct<w:string,n:bigint>")
+    held = names.select("name", F.explode(_parts(F.col("name"))).alias("w")).join(counts, "w").select(
+        "name", F.struct("w", "n").alias("m"))
+    # the null keeps names that hold no word, and is not listed
+    held = held.unionByName(names.select("name", none.alias("m"))).groupBy("name").agg(F.collect_list("m").alias("m"))
+
+    @F.pandas_udf("array<string>")
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([Lexicon.of(dict(zip(words, ns)), total).split(name) for name, words, ns in zip(*batch)],
+                            dtype=object)
+
+    return held.select("name", cut("name", F.col("m.w"), F.col("m.n")).alias("parts"))
+
+
+def with_words(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``rows`` with ``words``, those of ``host`` and ``path`` in order, repeats kept; every distinct name is cut once."""
+    kept = rows.columns
+    rows = stage(rows.withColumn("__names", _names(F.col("host"), F.col("path"))).withColumn("__row", F.monotonically_increasing_id()),
+                 "names")
+    placed = rows.select("__row", F.posexplode("__names").alias("at", "name"))
+    names = stage(placed.groupBy("name").agg(F.count(F.lit(1)).alias("times")), "distinct")
+    least = OFTEN * (names.agg(F.sum("times")).first()[0] or 0)
+    cuts = stage(split_names(names.select("name"), counts).join(names, "name"), "cuts")
+    # names such as com are in most urls: at most 1 / OFTEN of them go to the rows, the rows go to the others
+    common = placed.join(F.broadcast(cuts.where(F.col("times") > least).select("name", "parts")), "name", "left")
+    rare = (common.where("parts is null").drop("parts")
+            .join(cuts.where(F.col("times") <= least).select("name", "parts"), "name"))
+    words = (common.where("parts is not null").unionByName(rare).groupBy("__row")
+             .agg(F.array_sort(F.collect_list(F.struct("at", "parts"))).alias("p"))
+             .select("__row", F.flatten("p.parts").alias("words")))
+    return (rows.join(words, "__row", "left")
+            .select(*kept, F.coalesce("words", F.array().cast("array<string>")).alias("words")))
 
 
 def bayes_weights(counted, slots: int = SLOTS, smoothing: float = SMOOTHING) -> np.ndarray:
@@ -179,10 +232,10 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     rows and null ids are judged each by itself. An empty table gives an empty one; further columns
     are ignored. A word in a third of all urls is summed in every task before it is shuffled.
     """
-    lexicon = learn_lexicon(pages, html_col, [*block_seeds, *allow_seeds])
+    counts = word_counts(pages, html_col, [*block_seeds, *allow_seeds])
     rows = pages.select(col(id_col).alias("page_id"), host_of(col(url_col).cast("string")).alias("host"),
                         path_of(col(url_col).cast("string")).alias("path"))
-    rows = stage(rows.withColumn("words", segmented(F.col("host"), F.col("path"), lexicon)), "urls")
+    rows = stage(with_words(rows, counts), "urls")
     bad = F.arrays_overlap("words", F.array(*map(F.lit, block_seeds)))
     good = F.arrays_overlap("words", F.array(*map(F.lit, allow_seeds)))
     examples = rows.where(bad | good).select("words", bad.cast("int").alias("block"))
