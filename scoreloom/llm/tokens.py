@@ -26,8 +26,8 @@ class Encoder:
     """Ids of the tokenizer file at ``path`` (by default the 50k byte-level BPE).
 
     The vocabulary is read by ``tokenizers``. Its ids are its merge ranks, so ``tiktoken``
-    gives the same ids (tested) several times faster. Special tokens are neither added
-    nor recognised in a text.
+    gives the same ids (tested) several times faster. Special tokens are not added, but the
+    file's added tokens are recognised in a text: a text that holds one goes to ``tokenizers``.
 
     The pre-token pattern looks ahead only to leave the last of several white spaces to the
     next token; texts without such runs take the pattern without that alternative.
@@ -39,7 +39,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         alphabet = _byte_alphabet()
-        vocab = Tokenizer.from_file(path or default_path()).get_vocab(with_added_tokens=False)
+        self.exact = Tokenizer.from_file(path or default_path())
+        added = [t for t in self.exact.get_added_tokens_decoder().values() if t.content]
+        self.added = [t.content for t in added]
+        # added tokens with a place before white space that is none between tokens, and whether it is their end
+        self.joined = [(t.content, bool(t.rstrip)) for t in added if t.rstrip or any(map(str.isspace, t.content))]
+        vocab = self.exact.get_vocab(with_added_tokens=False)
         ranks = {bytes(alphabet[c] for c in token): i for token, i in vocab.items()
                  if all(c in alphabet for c in token) and not token.startswith("<|")}
         pattern = public_tokenizers.PATTERN
@@ -47,10 +52,19 @@ class Encoder:
         self.plain = tiktoken.Encoding("plain", pat_str=pattern.replace(r"|\s+(?!\S)", ""),
                                        mergeable_ranks=ranks, special_tokens={})
 
+    def _ids(self, text: str) -> list[int]:
+        if any(t in text for t in self.added):
+            return self.exact.encode(text, add_special_tokens=False).ids
+        return (self.whole if _RUN.search(text) else self.plain).encode_ordinary(text)
+
     def ids(self, text: str) -> np.ndarray:
         """All ids of a text as little-endian unsigned 32-bit numbers."""
-        encoding = self.whole if _RUN.search(text) else self.plain
-        return np.array(encoding.encode_ordinary(text), "<u4")
+        return np.array(self._ids(text), "<u4")
 
     def count(self, text: str) -> int:
-        return len((self.whole if _RUN.search(text) else self.plain).encode_ordinary(text))
+        return len(self._ids(text))
+
+    def within_added(self, text: str, place: int) -> bool:
+        """Whether a cut at ``place`` may part an added token, or it from the white space that it takes in."""
+        return any(text.find(t, max(0, place - len(t) + (not takes)), place + len(t) - 1) >= 0
+                   for t, takes in self.joined)

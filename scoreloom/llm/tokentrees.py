@@ -1,7 +1,8 @@
 """Token counts that follow edits: a segment tree over runs of pre-tokens for every document.
 
 The tokenizer never joins a character that is no white space with white space after it, so a text
-cut at such borders has as many tokens as its parts together. Leaves are parts of some hundred
+cut at such borders has as many tokens as its parts together; a border within an added token
+of the tokenizer's file is none. Leaves are parts of some hundred
 characters; inner nodes hold the characters and tokens below them. An edit descends to the
 leaves it touches, takes in neighbours where their border is gone, encodes only that region
 again and corrects the sums on the paths to the root.
@@ -29,11 +30,13 @@ EDITS = "array<struct<at:int,removed:int,inserted:string>>"
 TREE = "chars array<int>, tokens array<int>"
 
 
-def parts(text: str, size: int) -> list[str]:
+def parts(text: str, size: int, encoder: Encoder) -> list[str]:
     """The text cut at borders into parts of at least ``size`` characters (the last may be shorter)."""
     out, start = [], 0
     while len(text) - start > size:
         border = _BORDER.search(text, start + size)
+        while border and encoder.within_added(text, border.start()):
+            border = _BORDER.search(text, border.start() + 1)
         if not border:
             break
         out.append(text[start:border.start()])
@@ -64,7 +67,7 @@ class TokenTree:
 
     @classmethod
     def of(cls, text: str, encoder: Encoder, size: int = LEAF) -> TokenTree:
-        cut = parts(text, size)
+        cut = parts(text, size, encoder)
         return cls.over([len(p) for p in cut], [encoder.count(p) for p in cut])
 
     def leaf_at(self, place: int) -> tuple[int, int]:
@@ -104,7 +107,8 @@ class TokenTree:
         shift = len(new) - len(text)
 
         def border(place: int) -> bool:
-            return place in (0, len(new)) or (not new[place - 1].isspace() and new[place].isspace())
+            return place in (0, len(new)) or (not new[place - 1].isspace() and new[place].isspace()
+                                              and not encoder.within_added(new, place))
 
         while first and not border(start):
             first -= 1
@@ -114,7 +118,7 @@ class TokenTree:
             stop += int(self.chars[last + self.width])
         region = new[start:stop + shift]
         slots = last - first + 1
-        cut = parts(region, max(size, -(-len(region) // slots)))
+        cut = parts(region, max(size, -(-len(region) // slots)), encoder)
         cut = cut[:slots - 1] + ["".join(cut[slots - 1:])] if len(cut) > slots else cut
         for i in range(slots):
             part = cut[i] if i < len(cut) else ""
@@ -130,7 +134,7 @@ class TokenTree:
         while place < stop:
             place += held[last][0]
             last += 1
-        fresh = [(len(p), encoder.count(p)) for p in parts(text[start:stop], size)]
+        fresh = [(len(p), encoder.count(p)) for p in parts(text[start:stop], size, encoder)]
         leaves = [x for x in held[:first] + fresh + held[last:] if x[0]]
         tree = TokenTree.over([c for c, _ in leaves], [t for _, t in leaves])
         self.chars, self.tokens, self.width = tree.chars, tree.tokens, tree.width
