@@ -246,9 +246,12 @@ def chi_merge(woe: DataFrame, p_threshold: float = 0.1, fold_limit: int = FOLD_L
     """``(variable, group, bin, n, pos, neg, pct_1, pct_0, woe)`` after merging.
 
     ``bin`` joins the member labels in walking order. A group of more than
-    ``fold_limit`` members has NULL there; :func:`merge_groups` lists them.
+    ``fold_limit`` members has NULL there; :func:`merged_levels` lists them.
     """
-    groups = merge_groups(stage(woe, "woe"), p_threshold, fold_limit)
+    return _merged_rows(merge_groups(stage(woe, "woe"), p_threshold, fold_limit), fold_limit)
+
+
+def _merged_rows(groups: DataFrame, fold_limit: int) -> DataFrame:
     label = F.coalesce("bin", F.lit("NULL")).alias("label")
     # at most fold_limit labels per group enter a list
     listed = F.when(F.col("member") < fold_limit, F.struct("key", "tie", "bin", label))
@@ -262,6 +265,18 @@ def chi_merge(woe: DataFrame, p_threshold: float = 0.1, fold_limit: int = FOLD_L
                          weight_of_evidence(F.col("pct_1"), F.col("pct_0")).alias("woe"))
 
 
+def merged_levels(groups: DataFrame) -> DataFrame:
+    """``(variable, bin, group, woe)``: every bin of :func:`merge_groups`, with the weight of its merged group.
+
+    One row per original bin at every size; no label is joined and none left out.
+    """
+    groups = stage(groups, "groups")  # read for the rows and for the sums
+    sums = groups.groupBy("variable", "group").agg(*[F.sum(c).alias(c) for c in ("pct_1", "pct_0")])
+    weight = sums.select("variable", "group", weight_of_evidence(F.col("pct_1"), F.col("pct_0")).alias("woe"))
+    return groups.select("variable", "bin", "group").join(weight, ["variable", "group"]).select(
+        "variable", "bin", "group", "woe")
+
+
 def information_value(woe: DataFrame) -> DataFrame:
     """``(variable, iv)``."""
     term = (F.col("pct_1") - F.col("pct_0")) * F.col("woe")
@@ -279,9 +294,25 @@ def iv_analysis(df: DataFrame, y: str, numeric: Sequence[str], factors: Sequence
 
     Missing values are not filled before: they are a bin.
     """
+    return _analysed(binned_groups(df, y, numeric, factors, bins, p_threshold))
+
+
+def iv_and_levels(df: DataFrame, y: str, numeric: Sequence[str], factors: Sequence[str],
+                  bins: int = 20, p_threshold: float = 0.1) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """:func:`iv_analysis` and :func:`merged_levels` from one walk. Returns (iv, merged WOE, levels)."""
+    groups = stage(binned_groups(df, y, numeric, factors, bins, p_threshold), "groups")
+    return *_analysed(groups), merged_levels(groups)
+
+
+def binned_groups(df: DataFrame, y: str, numeric: Sequence[str], factors: Sequence[str],
+                  bins: int = 20, p_threshold: float = 0.1) -> DataFrame:
+    """Breaks, bins, WOE and the group of every bin."""
     breaks = breaks_by_column(quantile_breaks(df, numeric, bins)) if numeric else {}
-    merged = chi_merge(woe_table(bin_counts(df, y, factors, breaks)), p_threshold)
-    merged = stage(merged, "merged")
+    return merge_groups(stage(woe_table(bin_counts(df, y, factors, breaks)), "woe"), p_threshold)
+
+
+def _analysed(groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    merged = stage(_merged_rows(groups, FOLD_LIMIT), "merged")
     return information_value(merged), merged
 
 

@@ -154,9 +154,10 @@ def prepare(spark: SparkSession, data: Dataset, config: LearnConfig) -> Prepared
             out["factor_levels.csv"] = levels
     if target and config.calculate_iv and data.variables:
         labelled = woe.label_to_binary(data.df, target)
-        iv, merged = woe.iv_analysis(labelled, "y", data.numeric, data.factors)
+        iv, merged, merged_levels = woe.iv_and_levels(labelled, "y", data.numeric, data.factors)
         out["iv_values.csv"] = iv
         out["woe_values.csv"] = woe.woe_values(merged)
+        out["woe_levels.csv"] = merged_levels
     if target and config.reduce_levels_above is not None and data.factors:
         numbers = {r["variable"]: r["level_num"] for r in factor.select("variable", "level_num").collect()}
         labelled = woe.label_to_binary(data.df, target, name="__y01")

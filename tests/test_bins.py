@@ -157,6 +157,18 @@ def test_chi_merge_replay(spark, fold_limit):
         assert got[v] == groups
 
 
+@pytest.mark.parametrize("fold_limit", [2_000, 3])
+def test_every_level_of_a_merged_group_is_listed(spark, fold_limit):
+    rows = [("f", f"l{i:04d}", None, 4, 2, 2) for i in range(2_500)] + [("f", None, None, 4000, 4000, 0)]
+    table = woe.woe_table(spark.createDataFrame(rows, "variable string, bin string, position int, n long, pos long, neg long"))
+    merged = {r.group: r for r in woe.chi_merge(table, fold_limit=fold_limit).collect()}
+    got = woe.merged_levels(woe.merge_groups(table, fold_limit=fold_limit)).collect()
+    assert sorted(str(r.bin) for r in got) == sorted(str(r[1]) for r in rows)
+    large = [r for r in got if r.bin is not None]
+    assert len({r.group for r in large}) == 1 and merged[large[0].group].bin is None
+    assert all(r.woe == pytest.approx(merged[r.group].woe) for r in got)
+
+
 def test_order_and_codes_include_missing(spark):
     data = [("a", 1)] * 5 + [("a", 0)] + [("b", 0)] * 5 + [("b", 1)] + [(None, 1), (None, 0)] * 2
     df = spark.createDataFrame([(i, f, y) for i, (f, y) in enumerate(data)], "id int, f string, y int")

@@ -344,6 +344,9 @@ ORACLES["iv_table"] = f"WITH RECURSIVE {MISSING_SQL}, {_merged(*_CREDIT)} {_IV}"
 ORACLES["iv_table_strong"] = f"WITH RECURSIVE {STRONG_SQL}, {_merged(*_STRONG)} {_IV}"
 ORACLES["woe_values"] = f"""WITH RECURSIVE {STRONG_SQL}, {_merged(*_STRONG)}
 SELECT variable, bin, {r('woe')} AS woe FROM merged"""
+ORACLES["woe_levels"] = f"""WITH RECURSIVE {STRONG_SQL}, {_merged(*_STRONG)}
+SELECT grp.variable, grp.bin, merged."group", {r('merged.woe')} AS woe
+FROM grp JOIN merged ON grp.variable = merged.variable AND grp.g = merged."group\""""
 _CODES = """ev AS (SELECT event_id, user_id::VARCHAR AS user_id, (event_type = 'error')::INTEGER AS y FROM events),
 lc AS (SELECT user_id AS level, sum(y) AS pos, count(*) - sum(y) AS neg FROM ev GROUP BY user_id),
 lw AS (SELECT level, ln((pos / (SELECT sum(y) FROM ev)::DOUBLE + 0.01::DOUBLE)

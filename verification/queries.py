@@ -434,6 +434,13 @@ def woe_values(spark, d):
     return rounded(woe.woe_values(merged))
 
 
+@query
+def woe_levels(spark, d):
+    """The WOE list with one row per original bin."""
+    groups = woe.binned_groups(strong_lines(spark, d), "y", LINE_NUMERIC, STRONG_FACTORS)
+    return rounded(woe.merged_levels(groups))
+
+
 @query
 def woe_level_code(spark, d):
     return rounded(woe.level_codes(coded_events(spark, d), "y", ["user_id"]))
