@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from scoreloom.functions.staging import stage
 from scoreloom.llm.common import col, shuffle_partitions
 
 SHINGLE = 5
@@ -21,6 +22,10 @@ BLANKS = r"[\x20\x09-\x0D]+"
 #: Terms counted in 16-bit lanes before the lanes are added up; the top lane has a sign bit to spare.
 LANE_TERMS = 32_767
 LANES = 16
+#: Fingerprints with one key of a block table that are compared in one task; more are dealt to several.
+KEY_ROWS = 4_096
+#: Every how many ids a document's fingerprint is searched among all.
+SEARCHED = 50
 _LANE_MASK = 0x0001000100010001
 
 
@@ -126,6 +131,25 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Returns ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``;
     an empty table gives an empty one; further columns are ignored.
     """
+    return _edited(docs, id_col, text_col).drop("fp")
+
+
+def searched_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``edited_fingerprints`` with ``near_count``, from a search among the fingerprints of all documents.
+
+    For ids that ``SEARCHED`` divides it is the number of different fingerprints, its own among them, within
+    the radius of ``within_radius``; null for all others.
+    """
+    rows = stage(_edited(docs, id_col, text_col), "fingerprints")
+    asked = F.coalesce(F.col("doc_id").try_cast("bigint") % SEARCHED == 0, F.lit(False))
+    near = (within_radius(rows.where(asked).select("fp"), rows.select("fp")).groupBy("query")
+            .agg(F.count(F.lit(1)).alias("near_count")))
+    found = rows.where(asked).join(near, F.col("fp") == F.col("query")).drop("query")
+    others = rows.where(~asked).withColumn("near_count", F.lit(None).cast("bigint"))
+    return found.unionByName(others).drop("fp")
+
+
+def _edited(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(col(id_col).alias("doc_id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = with_next(rows, "doc_id", "text", 4 * shuffle_partitions(docs.sparkSession),
                      lambda df: with_fingerprint(df, F.col("text"), "fp"), ["text", "fp"])
@@ -133,7 +157,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), "fp", "next_fp", F.concat(
         F.substring("text", F.lit(1), F.length("text") - half), F.substring("next_text", F.lit(1), half)).alias("edited"))
     rows = with_fingerprint(rows, F.col("edited"), "edited_fp")
-    return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+    return rows.select("doc_id", "fp", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                        as_hex(F.col("fp")).alias("fingerprint"), as_hex(F.col("edited_fp")).alias("edited_fingerprint"),
                        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
                        likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
@@ -145,7 +169,8 @@ def within_radius(searched: DataFrame, fingerprints: DataFrame, radius: int = 3,
     The block tables: for every choice of ``blocks - radius`` blocks the bits are permuted so that the
     chosen come first, which is what a mask and equality express; a pair within the radius has at
     least one choice in common, and is given out by the first. Both sides are made distinct first; null
-    fingerprints find nothing.
+    fingerprints find nothing. Where more than ``KEY_ROWS`` fingerprints share a key they are dealt to slices
+    and the searched ones meet each slice, so no task compares a whole cloud.
     """
     edges = [64 * i // blocks for i in range(blocks + 1)]
     runs = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:])]
@@ -161,8 +186,17 @@ def within_radius(searched: DataFrame, fingerprints: DataFrame, radius: int = 3,
                 .select(name, F.explode(tables).alias("t"))
                 .select(name, F.col("t.n").alias("table"), F.col(name).bitwiseAND(F.col("t.mask")).alias("key")))
 
+    queries, stored = keyed(searched, "query"), stage(keyed(fingerprints, "found"), "keyed")
+    # at most one row for KEY_ROWS rows of a table
+    hot = stage(stored.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > KEY_ROWS)
+                .select("table", "key", F.ceil(F.col("n") / KEY_ROWS).cast("int").alias("slices")), "hot")
+    slices = F.coalesce("slices", F.lit(1))
+    stored = stored.join(hot, ["table", "key"], "left").select(
+        "found", "table", "key", F.pmod(F.xxhash64("found"), slices).cast("int").alias("slice"))
+    queries = queries.join(hot, ["table", "key"], "left").select(
+        "query", "table", "key", F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"))
     difference = F.col("query").bitwiseXOR(F.col("found"))
     first = F.coalesce(*[F.when(difference.bitwiseAND(F.lit(m)) == 0, F.lit(i)) for i, m in enumerate(chosen)])
-    return (keyed(searched, "query").join(keyed(fingerprints, "found"), ["table", "key"])
+    return (queries.join(stored, ["table", "key", "slice"])
             .where((F.bit_count(difference) <= radius) & (first == F.col("table")))
             .select("query", "found", F.bit_count(difference).alias("bits")))

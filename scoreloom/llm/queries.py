@@ -35,7 +35,7 @@ def op5_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"))
+    return fingerprints.searched_fingerprints(read(spark, sf_dir, "documents"))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
