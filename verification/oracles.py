@@ -198,6 +198,10 @@ WITH a AS (SELECT l_partkey, l_suppkey, count(*)::BIGINT AS n_large FROM lineite
            WHERE l_discount > 0.09::DOUBLE GROUP BY l_partkey, l_suppkey)
 SELECT coalesce(a.l_partkey, b.l_partkey) AS l_partkey, coalesce(a.l_suppkey, b.l_suppkey) AS l_suppkey,
        n_large, n_cheap FROM a FULL JOIN b ON a.l_partkey = b.l_partkey AND a.l_suppkey = b.l_suppkey"""
+ORACLES["join_full_tables"] = """
+WITH a AS (SELECT l_orderkey, count(*)::BIGINT AS n_items FROM lineitem GROUP BY l_orderkey),
+     b AS (SELECT event_id, count(*)::BIGINT AS n_events FROM events GROUP BY event_id)
+SELECT coalesce(l_orderkey, event_id) AS l_orderkey, n_items, n_events FROM a FULL JOIN b ON l_orderkey = event_id"""
 ORACLES["lookup_join"] = """
 WITH o AS (SELECT o_custkey, o_totalprice, o_orderkey, row_number() OVER (
              PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) AS rn FROM orders)

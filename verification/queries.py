@@ -333,6 +333,14 @@ def join_full(spark, d):
     return combine.merge(left, right, ["l_partkey", "l_suppkey"])
 
 
+@query
+def join_full_tables(spark, d):
+    """Every lineitem and every event, by numbers of which either side lacks some; each side is aggregated once."""
+    items = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_items"))
+    events = table(spark, d, "events").groupBy("event_id").agg(F.count(F.lit(1)).alias("n_events"))
+    return combine.merge(stage(items), stage(events), ["l_orderkey"], ["event_id"])
+
+
 @query
 def lookup_join(spark, d):
     orders = table(spark, d, "orders").select("o_custkey", "o_totalprice", "o_orderkey")
