@@ -20,10 +20,3 @@ def spark(tmp_path_factory):
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     return session
-
-
-def rows(df, *names):
-    """Rows as sorted tuples."""
-    names = names or df.columns
-    return sorted((tuple(r[n] for n in names) for r in df.collect()),
-                  key=lambda t: tuple((v is None, str(type(v)), v if v is not None else 0) for v in t))

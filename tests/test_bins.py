@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from scoreloom.functions.columns import (
     CHI_SQUARE_CRITICAL, chi_square, cut_right_closed, grid_step, hundredth_bin, merge_limit,
     p_value_ceiling, p_value_floor)

@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from scoreloom.operators import bayes, cluster, describe, grids, training
 from scoreloom.operators.score import overall_metrics, score_counts, score_steps
 
