@@ -92,11 +92,11 @@ def fit_languages(labelled: DataFrame, id_col: str, text_col: str, lang_col: str
     """Fit on the rows given; rows without id, language or letters are left out.
 
     Document frequencies are counted over all of them. Centroids are fitted on at most
-    ``sample`` texts of each language, those whose ids have the least hashes; each language is
-    clustered in a task of its own, which that bound keeps small.
+    ``sample`` texts of each language, those whose ids and texts have the least hashes, a repeated
+    row once; each language is clustered in a task of its own, which that bound keeps small.
     """
-    rows = labelled.select(F.xxhash64(col(id_col).cast("string")).alias("h"), F.lower(col(text_col)).alias("text"),
-                           col(lang_col).alias("lang")).where(
+    rows = labelled.select(F.xxhash64(col(id_col).cast("string"), col(text_col)).alias("h"),
+                           F.lower(col(text_col)).alias("text"), col(lang_col).alias("lang")).where(
         col(id_col).isNotNull() & col(lang_col).isNotNull() & has_letters(col(text_col)))
     counted = (rows.select("text").mapInPandas(_frequencies(width), "slot int, n long")
                .groupBy("slot").agg(F.sum("n").alias("n")).collect())
@@ -108,12 +108,13 @@ def fit_languages(labelled: DataFrame, id_col: str, text_col: str, lang_col: str
         else:
             frequency[slot] = n
     idf = np.log((1 + total) / (1 + frequency)) + 1
-    # a hash threshold per language lets through a few more than ``sample`` rows, before any shuffle of texts
-    sizes = labelled.where(col(id_col).isNotNull() & col(lang_col).isNotNull()).groupBy(
-        col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+    # a hash threshold per language lets through about twice ``sample`` rows, before any shuffle of texts; it goes
+    # by the number of different hashes, as repeated rows pass it all or not at all
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
     share = F.least(F.lit(1.0), F.lit(2.0 * sample) / F.col("n"))
     # one row per language, as in the model itself: the threshold then acts before rows are dealt by language
-    near = rows.join(F.broadcast(sizes), "lang").where((F.col("h") / F.lit(2.0 ** 64) + 0.5) <= share)
+    near = (rows.join(F.broadcast(sizes), "lang").where((F.col("h") / F.lit(2.0 ** 64) + 0.5) <= share)
+            .groupBy("lang", "h").agg(F.min("text").alias("text")))
     picked = near.withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy("h", "text"))).where(
         F.col("nth") <= sample)
 

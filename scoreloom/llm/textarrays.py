@@ -8,6 +8,8 @@ import numpy as np
 
 #: Texts are handled in runs of about so many bytes; one longer text is a run of its own.
 RUN_BYTES = 1_000_000
+#: ... and of so many texts at most, as some arrays have a row for each.
+RUN_TEXTS = 512
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -26,11 +28,11 @@ _SHAPES[9:14] = 32
 
 
 def runs(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """(from, to) of runs of texts with about ``RUN_BYTES`` bytes."""
+    """(from, to) of runs of texts with about ``RUN_BYTES`` bytes and at most ``RUN_TEXTS`` texts."""
     start, held = 0, 0
     for i, text in enumerate(texts):
         held += len(text)
-        if held >= RUN_BYTES:
+        if held >= RUN_BYTES or i + 1 - start >= RUN_TEXTS:
             yield start, i + 1
             start, held = i + 1, 0
     if start < len(texts):

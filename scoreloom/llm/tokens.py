@@ -7,6 +7,8 @@ import re
 import numpy as np
 
 _RUN = re.compile(r"\s\s")
+#: Longer runs of blanks overflow the stack of the fast library's pattern engine.
+_LONG_RUN = re.compile(r"\s{10000}")
 
 
 def default_path() -> str:
@@ -30,7 +32,8 @@ class Encoder:
     file's added tokens are recognised in a text: a text that holds one goes to ``tokenizers``.
 
     The pre-token pattern looks ahead only to leave the last of several white spaces to the
-    next token; texts without such runs take the pattern without that alternative.
+    next token; texts without such runs take the pattern without that alternative, and texts with a
+    run of 10,000 blanks or more go to ``tokenizers``.
     """
 
     def __init__(self, path: str | None = None):
@@ -55,7 +58,11 @@ class Encoder:
     def _ids(self, text: str) -> list[int]:
         if any(t in text for t in self.added):
             return self.exact.encode(text, add_special_tokens=False).ids
-        return (self.whole if _RUN.search(text) else self.plain).encode_ordinary(text)
+        if not _RUN.search(text):
+            return self.plain.encode_ordinary(text)
+        if _LONG_RUN.search(text):
+            return self.exact.encode(text, add_special_tokens=False).ids
+        return self.whole.encode_ordinary(text)
 
     def ids(self, text: str) -> np.ndarray:
         """All ids of a text as little-endian unsigned 32-bit numbers."""

@@ -125,8 +125,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str
                  groups: Sequence[Sequence[str]] = IDENTITY_GROUPS) -> ToxicityModel:
     """Fit on at most ``sample`` labelled texts whose id satisfies ``learn`` (a column of ``doc_id``).
 
-    Rows without id or label are left out; of several labels of an id the largest counts. The sample
-    of ids is bounded, so it is broadcast; the driver gets the chosen words of its rows. With no
+    Rows without id or label are left out; of several labels of an id the largest counts, and of equal
+    rows of an id one. The sample of ids is bounded, so it is broadcast; where ids have several texts, those with
+    the least hashes are kept, about ``sample`` in all. The driver gets the chosen words of these. With no
     labelled row the model says 0.5 less than half: score is the smoothed share of toxic rows.
     """
     marks = (labels.select(col(id_col).alias("doc_id"), col(label_col).cast("int").alias("y"))
@@ -139,8 +140,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str
         marks = marks.where(F.col("h") / F.lit(2.0 ** 64) + 0.5 <= edge)
     marks = marks.orderBy("h", "doc_id").limit(sample)
     texts = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
-    rows = stage(texts.join(F.broadcast(marks), "doc_id")
-                 .select("y", _word_sets(lowered(F.col("text"))).alias("words")), "toxicity")
+    rows = stage(texts.join(F.broadcast(marks.drop("h")), "doc_id")
+                 .groupBy(F.xxhash64("doc_id", "text").alias("h")).agg(F.max("y").alias("y"), F.min("text").alias("text"))
+                 .select("h", "y", _word_sets(lowered(F.col("text"))).alias("words")), "toxicity")
+    different = rows.count()
+    if different > sample:
+        rows = rows.where(F.col("h") / F.lit(2.0 ** 64) + 0.5 <= sample / different)
     total, toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
     split = F.lit(float(toxic) / max(total, 1))
     a, both = F.col("toxic"), F.col("n")

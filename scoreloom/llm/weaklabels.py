@@ -20,7 +20,7 @@ from scoreloom.llm.common import col
 from scoreloom.llm.textarrays import runs, shape_hashes, word_hashes
 
 ROUNDS = 200
-#: Texts the linear scorer is fitted on at most, those with the least id hashes.
+#: Texts the linear scorer is fitted on at most, those with the least hashes of id and text, a repeated row once.
 SAMPLE = 20_000
 #: Slots of the scorer: size classes, classes of repetition, hashed shapes of words, hashed words.
 SIZES, REPEATS, SHAPES, SLOTS = 24, 40, 2048, 1 << 14
@@ -174,10 +174,13 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     all texts would cost more.
     """
     rows = docs.select(col(id_col).alias("doc_id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
-    counted = votes(rows, "text").groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()
+    hashed = rows.withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), F.xxhash64("text")))
+    # rows with equal hashes vote alike, so the numbers of different hashes add up over the patterns
+    counted = votes(hashed, "text").groupBy("votes").agg(
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct("h").alias("different")).collect()
     patterns = np.array([r["votes"] for r in counted], np.int64).reshape(-1, len(HEURISTICS))
     model = fit_label_model(patterns, np.array([r["n"] for r in counted], float))
-    edge = min(1.0, sample / max(sum(r["n"] for r in counted), 1))
+    edge = min(1.0, 1.2 * sample / max(sum(r["different"] for r in counted), 1))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -189,8 +192,8 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 values += [x.tobytes() for x in np.split(value.astype("<f4"), cut)]
             yield pd.DataFrame({"h": batch["h"], "votes": batch["votes"], "slots": slots, "values": values})
 
-    near = (rows.withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), F.xxhash64("text")))
-            .where((F.col("h") / F.lit(2.0 ** 64) + 0.5) <= edge))
+    near = (hashed.where((F.col("h") / F.lit(2.0 ** 64) + 0.5) <= edge)
+            .groupBy("h").agg(F.min("text").alias("text")))
     picked = (votes(near, "text")
               .mapInPandas(features, "h long, votes array<tinyint>, slots binary, values binary")
               .orderBy("h").limit(sample).toPandas())
