@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.llm import (fingerprints, hilbert, langid, mixing, packing, pivots, tokentrees, toxicity,
-                           urlfilter, weaklabels)
+                           urlfilter, weaklabels, whitening)
 from scoreloom.llm.common import id_remainder, read
 
 
@@ -60,6 +60,10 @@ def op10_token_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokentrees.edited_counts(read(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_language, op3_url_words, op4_pivot_simhash, op5_hilbert, op6_fingerprints, op7_mixing, op8_quality, op9_toxicity,
-    op10_token_trees)}
+    op10_token_trees, op13_whitening)}
