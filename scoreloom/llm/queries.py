@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import (chatformat, fingerprints, hilbert, langid, mixing, packing, pivots, tokentrees, toxicity,
+from scoreloom.llm import (chatformat, collocations, fingerprints, hilbert, langid, mixing, packing, pivots, tokentrees, toxicity,
                            urlfilter, weaklabels, whitening)
 from scoreloom.llm.common import id_remainder, read
 
@@ -73,10 +73,14 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chatformat.digests(chatformat.format_turns(turns))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_language, op3_url_words, op4_pivot_simhash, op5_hilbert, op6_fingerprints, op7_mixing, op8_quality, op9_toxicity,
-    op10_token_trees, op11_chat_format, op13_whitening)}
+    op10_token_trees, op11_chat_format, op12_collocations, op13_whitening)}
