@@ -7,9 +7,8 @@ variables; its size is the number of bins and levels, not of rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -22,8 +21,9 @@ from scoreloom.functions.reshape import to_long
 from scoreloom.functions.staging import stage
 from scoreloom.operators.quantile import breaks_by_column, quantile_breaks
 
-# A variable with more bins than this is merged by a streamed pass instead of
-# an in-row fold.
+# Bins of one in-row fold; a variable with more is walked in slices of so many.
+SLICE_BINS = 2_000
+# Labels that the name of a merged group joins at most.
 FOLD_LIMIT = 2_000
 
 
@@ -145,101 +145,114 @@ def adjacent_chi2(counts: DataFrame) -> DataFrame:
                     p_value_ceiling(F.col("chi2")).alias("p_high")))
 
 
-def _chi_square_value(a: float, b: float, c: float, d: float) -> float:
-    """The rule of ``columns.chi_square`` on plain numbers, for the streamed pass."""
-    cells = (a, b, c, d)
-    zeros = cells.count(0)
-    if zeros == 4 or (b == d == 0 and a and c) or (a == c == 0 and b and d):
-        return 0.0
-    if zeros:
-        return 100.0
-    total = a + b + c + d
-    distance = abs(a * d - b * c) - (total / 2 if min(cells) < 5 else 0)
-    return (distance * distance * total + 0.1) / ((a + b) * (c + d) * (a + c) * (b + d) + 0.1)
+_OPEN = "struct<pos:double,neg:double,size:bigint>"
 
 
-def _folded_groups(rows: DataFrame, limit: float) -> DataFrame:
-    """Group number per bin by a left fold over the ordered bins of a variable."""
-    entry = F.struct("key", "tie", *[column(c) for c in rows.columns if c not in ("variable", "key", "tie")])
-    ordered = rows.groupBy("variable").agg(F.array_sort(F.collect_list(entry)).alias("bins"))
-
-    def cells(x: Column) -> tuple[Column, Column]:
-        return x["pos"].cast("double"), x["neg"].cast("double")
+def _walk(bins: Column, opened: Column, limit: float) -> Column:
+    """Walk ordered bins from an open group (null: none) and return ``(ids, last, pos, neg, size)``.
 
-    pos, neg = cells(F.col("bins")[0])
-    start = F.struct(F.array(F.lit(1)).alias("ids"), F.lit(1).alias("at"),
-                     pos.alias("pos"), neg.alias("neg"))
+    ``ids`` has per bin the number of groups begun so far, so 0 while the open group goes on, and the bin's
+    place in its group; the rest is the group left open at the end.
+    """
+    start = F.struct(F.array().cast("array<struct<at:int,member:bigint>>").alias("ids"), F.lit(0).alias("at"),
+                     *[F.coalesce(opened[f], F.lit(0).cast(t)).alias(f)
+                       for f, t in (("pos", "double"), ("neg", "double"), ("size", "bigint"))])
 
     def step(state: Column, x: Column) -> Column:
-        p, q = cells(x)
-        joins = chi_square(state["pos"], state["neg"], p, q) <= F.lit(limit)
+        p, q = x["pos"].cast("double"), x["neg"].cast("double")
+        joins = (state["size"] > 0) & (chi_square(state["pos"], state["neg"], p, q) <= F.lit(limit))
         at = F.when(joins, state["at"]).otherwise(state["at"] + 1)
+        member = F.when(joins, state["size"]).otherwise(F.lit(0).cast("bigint"))
         return F.struct(
-            F.concat(state["ids"], F.array(at)).alias("ids"), at.alias("at"),
+            F.concat(state["ids"], F.array(F.struct(at.alias("at"), member.alias("member")))).alias("ids"), at.alias("at"),
             F.when(joins, state["pos"] + p).otherwise(p).alias("pos"),
-            F.when(joins, state["neg"] + q).otherwise(q).alias("neg"))
+            F.when(joins, state["neg"] + q).otherwise(q).alias("neg"), (member + 1).alias("size"))
 
-    rest = F.slice("bins", 2, F.greatest(F.size("bins") - 1, F.lit(0)))
-    walked = ordered.withColumn("ids", F.aggregate(rest, start, step, lambda s: s["ids"]))
-    pairs = F.zip_with("bins", "ids", lambda b, i: F.struct(b.alias("b"), i.alias("group")))
-    return walked.select("variable", F.inline(pairs)).select("variable", "group", "b.*")
+    return F.aggregate(bins, start, step)
 
 
-def _streamed_groups(rows: DataFrame, limit: float) -> DataFrame:
-    """The same walk for variables with very many levels.
-
-    The levels of a variable stream through one sorted pass that keeps only the
-    current group's two counts, so memory stays constant.
+def _sliced(rows: DataFrame, size: int, long: Sequence[str]) -> DataFrame:
+    """``(variable, slice, bins)``: the bins in walking order, at most ``size`` of them in a row."""
+    entry = F.struct("key", "tie", *[column(c) for c in rows.columns if c not in ("variable", "key", "tie")])
+    is_long = F.col("variable").isin(*long)
+    placed = rows.withColumn("__slice", F.lit(0).cast("bigint"))
+    if long:
+        ranked = ordered_totals(rows.where(is_long), [F.col("key"), F.col("tie")], {"__nth": F.lit(1).cast("bigint")}, group=["variable"])
+        far = ranked.withColumn("__slice", F.floor((F.col("__nth") - 1) / F.lit(size)).cast("bigint")).drop("__nth")
+        placed = placed.where(~is_long).unionByName(far.select(*[column(c) for c in placed.columns]))
+    return placed.groupBy("variable", F.col("__slice").alias("slice")).agg(
+        F.array_sort(F.collect_list(entry)).alias("bins"),
+        F.struct(F.sum("pos").cast("double").alias("pos"), F.sum("neg").cast("double").alias("neg"),
+                 F.count(F.lit(1)).alias("size")).alias("total"))
+
+
+def _walked_groups(rows: DataFrame, limit: float, size: int, long: Sequence[str]) -> DataFrame:
+    """Group number and place in the group of every bin, by a left walk over the ordered bins of a variable.
+
+    Each slice is first walked as if a group began with it. Then the group that is open at its begin is
+    handed to each slice, and those that were walked from another one are walked again, until nothing
+    changes. A walk soon meets a break that the last one had too and then ends alike, so few rounds do. What
+    is handed on is what the last slice with a break left open and all bins since, so a group that spans
+    any number of slices takes no round for each. All slices of a round run in parallel.
     """
-    names = rows.columns
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        variable, at, member, pos, neg = None, 0, 0, 0.0, 0.0
-        for batch in batches:
-            ids, members = [], []
-            for v, p, q in zip(batch["variable"], batch["pos"].astype(float), batch["neg"].astype(float)):
-                if v != variable:
-                    variable, at, member, pos, neg = v, 1, 0, p, q
-                elif _chi_square_value(pos, neg, p, q) <= limit:
-                    member, pos, neg = member + 1, pos + p, neg + q
-                else:
-                    at, member, pos, neg = at + 1, 0, p, q
-                ids.append(at)
-                members.append(member)
-            yield batch[names].assign(group=ids, member=members)
-
-    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes) + ", group int, member bigint"
-    return (rows.repartition("variable").sortWithinPartitions("variable", "key", "tie")
-            .mapInPandas(walk, schema))
-
-
-def merge_groups(woe: DataFrame, p_threshold: float = 0.1, fold_limit: int = FOLD_LIMIT) -> DataFrame:
+    slices = _sliced(rows, size, long)
+    none = F.lit(None).cast(_OPEN)
+    if not long:
+        walked = slices.withColumn("ids", _walk(F.col("bins"), none, limit)["ids"]).withColumn("before", F.lit(0))
+    else:
+        slices = stage(slices, "slices")
+
+        def walk(df: DataFrame) -> DataFrame:
+            return df.withColumn("__w", _walk(F.col("bins"), F.col("opened"), limit)).select(
+                "variable", "slice", "opened", "total", "__w.ids", F.col("__w.at").alias("begun"),
+                F.struct(*[F.col("__w")[f].alias(f) for f in ("pos", "neg", "size")]).alias("open"))
+
+        order = W.partitionBy("variable").orderBy("slice")  # one row per slice
+        state = stage(walk(slices.withColumn("opened", none)), "walks")
+        fields = ("pos", "neg", "size")
+        before = order.rowsBetween(W.unboundedPreceding, -1)
+        while True:
+            summed = state.select("variable", "slice", "opened", "begun", "open", F.struct(
+                *[F.sum(F.col("total")[f]).over(order).alias(f) for f in fields]).alias("sums"), "total")
+            broken = F.last(F.when(F.col("begun") > 0, F.struct("open", "sums")), ignorenulls=True).over(before)
+            handed = summed.withColumn("__b", broken).select("variable", "slice", "opened", F.when(
+                F.col("__b").isNotNull(), F.struct(*[(F.col("__b.open")[f] + F.col("sums")[f] - F.col("total")[f]
+                                                      - F.col("__b.sums")[f]).alias(f) for f in fields])).alias("now"))
+            changed = stage(handed.where(~F.col("now").eqNullSafe(F.col("opened"))).select(
+                "variable", "slice", F.col("now").alias("opened")), "changed")
+            if changed.isEmpty():
+                break
+            again = walk(slices.join(changed, ["variable", "slice"]))
+            state = stage(state.join(changed, ["variable", "slice"], "left_anti").unionByName(again), "walks")
+        earlier = F.sum("begun").over(before)
+        begun = state.select("variable", "slice", F.coalesce(earlier, F.lit(0)).cast("int").alias("before"))
+        walked = slices.join(state.select("variable", "slice", "ids"), ["variable", "slice"]).join(begun, ["variable", "slice"])
+    pairs = F.zip_with("bins", "ids", lambda b, i: F.struct(b.alias("b"), i.alias("i")))
+    return walked.select("variable", "before", F.inline(pairs)).select(
+        "variable", (F.col("before") + F.col("i.at")).alias("group"), F.col("i.member").alias("member"), "b.*")
+
+
+def merge_groups(woe: DataFrame, p_threshold: float = 0.1, slice_bins: int = SLICE_BINS) -> DataFrame:
     """Add ``group``: neighbouring bins merge while the chi-square test allows.
 
     Numerics are walked in bin order, factors in the order of their weight of
     evidence. The missing bin of a numeric keeps to itself as group 0. The
-    columns ``key`` and ``tie`` hold the walking order, ``member`` counts within
-    a group of a streamed variable and is 0 elsewhere.
+    columns ``key`` and ``tie`` hold the walking order, ``member`` counts within a
+    group from 0. A variable with more than ``slice_bins`` bins is walked in slices.
     """
-    # one row per variable: which are binned numerics, and which are too long to fold
+    # one row per variable: which are binned numerics, and which have more bins than one fold
     kinds = woe.groupBy("variable").agg(
         F.max(F.col("position").isNotNull()).alias("numeric"), F.count(F.lit(1)).alias("bins")).collect()
     numeric = F.col("variable").isin(*[k["variable"] for k in kinds if k["numeric"]])
-    long = [k["variable"] for k in kinds if k["bins"] > fold_limit]
+    long = [k["variable"] for k in kinds if k["bins"] > slice_bins]
     rows = woe.select(
         "variable", F.when(numeric, F.col("position").cast("double")).otherwise(F.col("woe")).alias("key"),
         F.when(~numeric, F.col("bin")).alias("tie"),
         *[column(c) for c in woe.columns if c != "variable"])
     apart = numeric & F.col("position").isNull()
-    limit = merge_limit(p_threshold)
-    is_long = F.col("variable").isin(*long)
-    walkable = rows.where(~apart)
-    out = _folded_groups(walkable.where(~is_long), limit).unionByName(
-        rows.where(apart).withColumn("group", F.lit(0)))
-    out = out.withColumn("member", F.lit(0).cast("bigint"))
-    if long:
-        out = out.unionByName(_streamed_groups(walkable.where(is_long), limit))
-    return out
+    walked = _walked_groups(rows.where(~apart), merge_limit(p_threshold), slice_bins, long)
+    return walked.unionByName(rows.where(apart).withColumn("group", F.lit(0))
+                              .withColumn("member", F.lit(0).cast("bigint")))
 
 
 def chi_merge(woe: DataFrame, p_threshold: float = 0.1, fold_limit: int = FOLD_LIMIT) -> DataFrame:
@@ -248,7 +261,7 @@ def chi_merge(woe: DataFrame, p_threshold: float = 0.1, fold_limit: int = FOLD_L
     ``bin`` joins the member labels in walking order. A group of more than
     ``fold_limit`` members has NULL there; :func:`merged_levels` lists them.
     """
-    return _merged_rows(merge_groups(stage(woe, "woe"), p_threshold, fold_limit), fold_limit)
+    return _merged_rows(merge_groups(stage(woe, "woe"), p_threshold), fold_limit)
 
 
 def _merged_rows(groups: DataFrame, fold_limit: int) -> DataFrame:
