@@ -30,22 +30,23 @@ GAINS_SHARES = (0.01, 0.02, 0.03, 0.04, 0.05, 0.10, 0.15, 0.20,
 BAND_METRICS = ("tps", "fps", "tns", "fns", "recall", "precision", "accuracy", "specificity")
 
 
-def score_counts(scored: DataFrame, y: str = "y", p: str = "p1") -> DataFrame:
-    """``(p1, pos, neg)``: rows per distinct score."""
+def score_counts(scored: DataFrame, y: str = "y", p: str = "p1", group: Sequence[str] = ()) -> DataFrame:
+    """``(group.., p1, pos, neg)``: rows per distinct score of each group (a set, a fold, a grid point)."""
     return (scored.where(column(y).isNotNull() & column(p).isNotNull())
-            .groupBy(column(p).cast("double").alias("p1"))
+            .groupBy(*[column(g) for g in group], column(p).cast("double").alias("p1"))
             .agg(F.sum(column(y).cast("bigint")).alias("pos"),
                  F.sum(1 - column(y).cast("bigint")).alias("neg")))
 
 
-def score_steps(counts: DataFrame) -> DataFrame:
+def score_steps(counts: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """One row per distinct score, as a threshold: ``idx`` 0.. from the top score,
-    ``pos``/``neg`` at the score, ``tps``/``fps`` at or above it, ``all_pos``/``all_neg`` in all.
+    ``pos``/``neg`` at the score, ``tps``/``fps`` at or above it, ``all_pos``/``all_neg`` in all,
+    each within its group; one range-partitioned pass serves all groups.
     """
     running = ordered_totals(
-        counts.select("p1", "pos", "neg"), [F.col("p1").desc()],
+        counts.select(*[column(g) for g in group], "p1", "pos", "neg"), [F.col("p1").desc()],
         {"tps": F.col("pos"), "fps": F.col("neg"), "idx": F.lit(1).cast("bigint")},
-        whole={"tps": "all_pos", "fps": "all_neg"})
+        group=group, whole={"tps": "all_pos", "fps": "all_neg"})
     return (running.withColumn("idx", F.col("idx") - 1)
             .withColumn("tns", F.col("all_neg") - F.col("fps"))
             .withColumn("fns", F.col("all_pos") - F.col("tps")))
@@ -293,13 +294,14 @@ def max_criteria(steps: DataFrame) -> DataFrame:
     return best_thresholds(steps, RATE_NAMES)
 
 
-def overall_metrics(steps: DataFrame, parameters: int | None = None) -> DataFrame:
-    """One row: nobs, MSE, RMSE, logloss, r2, AUC, Gini and, given the number of
+def overall_metrics(steps: DataFrame, parameters: int | None = None, group: Sequence[str] = ()) -> DataFrame:
+    """One row per group: nobs, MSE, RMSE, logloss, r2, AUC, Gini and, given the number of
     fitted parameters of a linear model, AIC.
     """
+    keys = [column(g) for g in group]
     p, pos, neg = F.col("p1"), F.col("pos"), F.col("neg")
     clipped = F.greatest(F.lit(1e-15), F.least(F.lit(1 - 1e-15), p))
-    sums = steps.agg(
+    sums = steps.groupBy(*keys).agg(
         F.max("all_pos").alias("all_pos"), F.max("all_neg").alias("all_neg"),
         F.sum(pos * (1 - p) * (1 - p) + neg * p * p).alias("sse"),
         F.sum(-(pos * F.ln(clipped) + neg * F.ln(1 - clipped))).alias("loss"),
@@ -310,12 +312,17 @@ def overall_metrics(steps: DataFrame, parameters: int | None = None) -> DataFram
     auc = F.try_divide(F.col("area"), F.col("all_pos").cast("double") * F.col("all_neg"))
     aic = (F.lit(2.0) * F.col("loss") + F.lit(2.0 * parameters)) if parameters is not None \
         else F.lit(None).cast("double")
-    return sums.select(n.cast("bigint").alias("nobs"), mse.alias("mse"), F.sqrt(mse).alias("rmse"),
+    return sums.select(*keys, n.cast("bigint").alias("nobs"), mse.alias("mse"), F.sqrt(mse).alias("rmse"),
                        (F.col("loss") / n).alias("logloss"),
                        (1 - F.try_divide(mse, rate * (1 - rate))).alias("r2"),
                        auc.alias("auc"), (2 * auc - 1).alias("gini"), aic.alias("aic"))
 
 
+def metrics_by(scored: DataFrame, group: Sequence[str], y: str = "y", p: str = "p1") -> DataFrame:
+    """The overall metrics of every group of scored rows, all from one pass over the rows."""
+    return overall_metrics(score_steps(score_counts(scored, y, p, group), group), group=group)
+
+
 def metric_set(scored: DataFrame, which: str, name: str = "split") -> DataFrame:
     """The scored rows of one set: train, valid or xval."""
     return scored.where(column(name) == F.lit(which)).drop(name)

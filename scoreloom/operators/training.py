@@ -1,8 +1,8 @@
 """Training, tuning, stacking, saving and applying models through Spark ML.
 
-A trained model is a feature pipeline and a predictor. The feature pipeline is
-fitted once, its output is staged, and every grid point and fold trains on the
-staged table; folds and holdouts come from a row hash, so reruns agree.
+A trained model is a feature pipeline and a predictor. Each fold has a feature
+pipeline fitted on its own training rows, whose output is staged and serves every
+grid point; folds and holdouts come from a row hash, so reruns agree.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassificationModel, MultilayerPerceptronClassifier,
     RandomForestClassificationModel, RandomForestClassifier)
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
     Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
     VectorSlicer)
@@ -27,7 +26,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Matrices
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.stat import Correlation, Summarizer
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,12 +33,12 @@ from scoreloom.functions.columns import column
 from scoreloom.functions.staging import stage
 from scoreloom.operators.bayes import (
     BayesTables, bayes_score, bayes_tables, load_bayes, save_bayes)
+from scoreloom.operators.folds import FoldFits, fit_folds
 from scoreloom.operators.grids import combinations, default_folds, default_grid
 from scoreloom.operators.sample import holdout, modulo_fold
 
 FEATURES = "__features"
 CLASSIFIERS = ("DL", "LR", "GBM", "NB", "RF")
-PARALLEL_FITS = 4
 # the correlation matrix for the collinearity check is square in this
 COLLINEAR_WIDTH = 2_000
 
@@ -410,11 +408,6 @@ def _assemble(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol=FEATURES).transform(df)
 
 
-def _evaluator(label: str, bayes: bool) -> BinaryClassificationEvaluator:
-    return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC",
-                                         rawPredictionCol="p1" if bayes else "rawPrediction")
-
-
 @dataclass
 class _Prepared:
     algorithm: str
@@ -428,12 +421,11 @@ class _Prepared:
     def transform(self, df: DataFrame) -> DataFrame:
         if self.features is None:
             return df
-        keep = [column(c) for c in (self.label, "__fold") if c in df.columns]
-        return self.features.transform(df).select(*keep, FEATURES)
+        return self.features.transform(df).select(column(self.label), FEATURES)
 
-    def maps(self, grid: dict[str, list]) -> tuple[list[dict], list[dict]]:
-        points = combinations(grid)
-        return points, [self._map(p) for p in points]
+    def fits(self, df: DataFrame, points: Sequence[dict]):
+        """An iterator of (number of the point, model) that threads can share; a model is fitted when drawn."""
+        return self.estimator.fitMultiple(df, [self._map(p) for p in points])
 
     def _map(self, params: dict) -> dict:
         return {self.estimator.getParam(k): v
@@ -485,113 +477,82 @@ class TrainingResult:
 def train_classifier(df: DataFrame, label: str, numeric: Sequence[str], factors: Sequence[str],
                      algorithm: str, keys: Sequence[str], hparams: dict | None = None,
                      cv_k: int | None = None, levels: tuple[str, str] = ("0", "1")) -> TrainingResult:
-    """Grid search by AUC with k folds, or on a 70/30 holdout when ``cv_k`` is below 2.
+    """Grid search by exact AUC with k folds, or on a 70/30 holdout when ``cv_k`` is below 2.
 
-    The winner of a cross-validation is refitted on all rows; its evaluation rows
-    are out-of-fold scores.
+    No (point, fold) pair is fitted twice: the winner's evaluation rows are the out-of-fold scores that
+    ranked it. The winner of a cross-validation is fitted once more, on all rows with features of all rows.
     """
     _check(algorithm, CLASSIFIERS)
-    used = [column(c) for c in dict.fromkeys([*numeric, *factors, label])]
-    rows = df.count()
+    used = dict.fromkeys([*numeric, *factors, label, *keys])
+    whole = stage(df.select(*[column(c) for c in used]), "train")
+    rows = whole.count()
     folds = default_folds(algorithm, rows) if cv_k is None else cv_k
-    grid = hparams or default_grid(algorithm, rows)
-    evaluator = _evaluator(label, algorithm == "NB")
+    points = combinations(hparams or default_grid(algorithm, rows))
+
+    def prepare(part: DataFrame) -> _Prepared:
+        return _prepare(algorithm, part, label, numeric, factors)
+
     if folds >= 2:
-        train = stage(df.select(*used, modulo_fold(keys, folds).alias("__fold")), "train")
-        prepared = _prepare(algorithm, train, label, numeric, factors)
-        shaped = train if prepared.features is None else stage(prepared.transform(train), "features")
-        points, maps = prepared.maps(grid)
-        if len(points) > 1:
-            tuned = CrossValidator(estimator=prepared.estimator, estimatorParamMaps=maps,
-                                   evaluator=evaluator, numFolds=folds, foldCol="__fold",
-                                   parallelism=PARALLEL_FITS).fit(shaped)
-            scores, best_model = tuned.avgMetrics, tuned.bestModel
-            best = int(np.argmax(scores))
-        else:
-            scores, best, best_model = [None], 0, prepared.fit(shaped, points[0])
-        evaluation = _out_of_fold(prepared, shaped, points[best], folds, label)
-        kind, valid = "xval", None
+        train, valid, kind = whole, None, "xval"
+        fits = fit_folds(fold_splits(whole, keys, folds), prepare, points, label, whole)
     else:
-        part, valid = holdout(df.select(*used, *[column(k) for k in keys if k not in
-                                                 (*numeric, *factors, label)]), keys)
-        train, valid = stage(part, "train"), stage(valid, "valid")
-        prepared = _prepare(algorithm, train, label, numeric, factors)
-        shaped = train if prepared.features is None else stage(prepared.transform(train), "features")
-        judged = valid if prepared.features is None else stage(prepared.transform(valid), "judged")
-        points, maps = prepared.maps(grid)
-        scores, models = [0.0] * len(points), [None] * len(points)
-        for i, m in prepared.estimator.fitMultiple(shaped, maps):
-            models[i] = m
-            scores[i] = evaluator.evaluate(m.transform(judged)) if len(points) > 1 else None
-        best = int(np.argmax(scores)) if len(points) > 1 else 0
-        best_model = models[best]
-        evaluation, kind = None, "valid"
-    trials = [dict(p, auc=None if s is None else float(s)) for p, s in zip(points, scores)]
-    model = TrainedModel(algorithm, list(numeric), list(factors), points[best], prepared.features,
-                         best_model, levels, trials=trials)
-    if evaluation is None:
-        evaluation = model.score(valid).select(column(label).alias("y"), "p1")
-    return TrainingResult(model, evaluation, kind, folds, valid, train)
-
-
-def _probability(df: DataFrame) -> DataFrame:
-    return df if "p1" in df.columns else df.withColumn("p1", vector_to_array("probability")[1])
-
-
-def _out_of_fold(prepared: _Prepared, shaped: DataFrame, params: dict, folds: int,
-                 label: str) -> DataFrame:
-    """Scores of each fold by a model that has not seen it: ``(y, p1, fold)``."""
-    out = None
-    for k in range(folds):
-        model = prepared.fit(shaped.where(F.col("__fold") != k), params)
-        part = _probability(model.transform(shaped.where(F.col("__fold") == k))).select(
-            column(label).alias("y"), "p1", F.col("__fold").alias("fold"))
-        out = part if out is None else out.unionByName(part)
-    return out
+        (train, valid), kind = holdout(whole, keys), "valid"
+        fits = fit_folds([(train, valid)], prepare, points, label)
+    best = fits.best
+    if kind == "xval":
+        prepared, shaped = fits.whole
+        predictor = prepared.fit(shaped, points[best])
+    else:
+        prepared, predictor = fits.prepared[0], fits.models[best, 0]
+    model = TrainedModel(algorithm, list(numeric), list(factors), points[best], prepared.features, predictor, levels,
+                         trials=[dict(p, auc=a) for p, a in zip(points, fits.auc)])
+    evaluation = fits.evaluation(best)
+    return TrainingResult(model, evaluation if kind == "xval" else evaluation.drop("fold"), kind, folds, valid, train)
+
+
+def fold_splits(rows: DataFrame, keys: Sequence[str], folds: int) -> list[tuple[DataFrame, DataFrame]]:
+    """(the other folds' rows, the fold's rows) for each fold of the keys' hash."""
+    own = modulo_fold(keys, folds)
+    return [(rows.where(own != k), rows.where(own == k)) for k in range(folds)]
 
 
 def train_stacking(df: DataFrame, label: str, numeric: Sequence[str], factors: Sequence[str],
                    bases: dict[str, dict | None], keys: Sequence[str], cv_k: int | None = None,
                    levels: tuple[str, str] = ("0", "1")) -> TrainingResult:
-    """Tune each base with k folds, combine their out-of-fold scores, judge on a holdout."""
+    """Tune each base with k folds, combine their out-of-fold scores, judge on a holdout.
+
+    The level-one rows are scored by the models that the folds' loop has fitted already.
+    """
     for algorithm in bases:
         _check(algorithm, CLASSIFIERS)
     if not bases:
         raise ValueError("stacking needs at least one base algorithm")
     used = list(dict.fromkeys([*numeric, *factors, label, *keys]))
-    part, valid = holdout(df.select(*[column(c) for c in used]), keys)
-    valid = stage(valid, "valid")
-    rows = part.count()
+    train, valid = holdout(stage(df.select(*[column(c) for c in used]), "train"), keys)
+    rows = train.count()
     folds = cv_k if cv_k and cv_k >= 2 else max(2, *[default_folds(a, rows) for a in bases], 2)
-    train = stage(part.withColumn("__fold", modulo_fold(keys, folds)), "train")
+    splits = fold_splits(train, keys, folds)
 
-    models, fitted = [], []
+    models: list[TrainedModel] = []
+    fitted: list[tuple[FoldFits, int]] = []
     for algorithm, grid in bases.items():
-        prepared = _prepare(algorithm, train, label, numeric, factors)
-        shaped = train if prepared.features is None else stage(prepared.transform(train), "features")
-        points, maps = prepared.maps(grid or default_grid(algorithm, rows))
-        best = 0
-        if len(points) > 1:
-            tuned = CrossValidator(estimator=prepared.estimator, estimatorParamMaps=maps,
-                                   evaluator=_evaluator(label, algorithm == "NB"), numFolds=folds,
-                                   foldCol="__fold", parallelism=PARALLEL_FITS).fit(shaped)
-            best = int(np.argmax(tuned.avgMetrics))
-            model = tuned.bestModel
-        else:
-            model = prepared.fit(shaped, points[0])
-        models.append(TrainedModel(algorithm, list(numeric), list(factors), points[best],
-                                   prepared.features, model, levels))
-        fitted.append((prepared, shaped, points[best]))
+        def prepare(part: DataFrame, algorithm: str = algorithm) -> _Prepared:
+            return _prepare(algorithm, part, label, numeric, factors)
+
+        points = combinations(grid or default_grid(algorithm, rows))
+        fits = fit_folds(splits, prepare, points, label, train)
+        prepared, shaped = fits.whole
+        models.append(TrainedModel(algorithm, list(numeric), list(factors), points[fits.best], prepared.features,
+                                   prepared.fit(shaped, points[fits.best]), levels))
+        fitted.append((fits, fits.best))
 
     names = ["__p%d" % i for i in range(len(models))]
     out = None
-    for k in range(folds):
-        fold = train.where(F.col("__fold") == k)
+    for k, (_, fold) in enumerate(splits):
         # every base scores the rows of the fold in turn, so no join brings them together
-        for (prepared, shaped, params), base, name in zip(fitted, models, names):
-            seen = prepared.fit(shaped.where(F.col("__fold") != k), params)
-            fold = TrainedModel(base.algorithm, base.numeric, base.factors, params,
-                                base.features, seen).score(fold, name)
+        for (fits, best), base, name in zip(fitted, models, names):
+            fold = TrainedModel(base.algorithm, base.numeric, base.factors, base.params,
+                                fits.prepared[k].features, fits.models[best, k]).score(fold, name)
         fold = fold.select(column(label), *names)
         out = fold if out is None else out.unionByName(fold)
     level_one = _assemble(stage(out, "levelone"), names)

@@ -266,19 +266,15 @@ def _woe(p1: str, p0: str) -> str:
 
 
 def _chi(a: str, b: str, c: str, d: str) -> str:
-    n = f"({a} + {b} + {c} + {d})"
-    zeros = " + ".join(f"({x} = 0)::INTEGER" for x in (a, b, c, d))
-    bottom = f"(({a} + {b}) * ({c} + {d}) * ({a} + {c}) * ({b} + {d}) + 0.1::DOUBLE)"
-    cross = f"abs({a} * {d} - {b} * {c})"
-    return f"""(CASE
-  WHEN ({zeros}) = 1 THEN 100.0::DOUBLE
-  WHEN {a} > 0 AND {b} = 0 AND {c} > 0 AND {d} = 0 THEN 0.0::DOUBLE
-  WHEN {a} = 0 AND {b} > 0 AND {c} = 0 AND {d} > 0 THEN 0.0::DOUBLE
-  WHEN ({zeros}) IN (2, 3) THEN 100.0::DOUBLE
-  WHEN ({zeros}) = 4 THEN 0.0::DOUBLE
-  WHEN {a} < 5 OR {b} < 5 OR {c} < 5 OR {d} < 5
-    THEN (power({cross} - {n} / 2.0::DOUBLE, 2) * {n} + 0.1::DOUBLE) / {bottom}
-  ELSE (power({cross}, 2) * {n} + 0.1::DOUBLE) / {bottom} END)"""
+    """The rule by margins: a margin of nothing on both rows, any empty cell, then the corrected statistic."""
+    total = f"({a} + {b} + {c} + {d})"
+    least = f"least({a}, {b}, {c}, {d})"
+    same_side = f"(({a} + {c} = 0 OR {b} + {d} = 0) AND {a} + {b} > 0 AND {c} + {d} > 0)"
+    away = f"(abs({a} * {d} - {c} * {b}) - CASE WHEN {least} < 5 THEN {total} / 2.0::DOUBLE ELSE 0 END)"
+    margins = f"(({a} + {c}) * ({b} + {d}) * ({a} + {b}) * ({c} + {d}) + 0.1::DOUBLE)"
+    return f"""(CASE WHEN {total} = 0 OR {same_side} THEN 0.0::DOUBLE
+  WHEN {least} = 0 THEN 100.0::DOUBLE
+  ELSE ({away} * {away} * {total} + 0.1::DOUBLE) / {margins} END)"""
 
 
 def _merged(tab: str, numeric, factors) -> str:
@@ -512,6 +508,22 @@ def _set(which: str, cond: str) -> str:
 m_{which} AS ({_loss(which, 'steps_' + which)})"""
 
 
+ORACLES["metrics_by_line"] = f"""WITH {SCORED_SQL},
+g AS (SELECT l_linenumber, p1, sum(y) AS pos, count(*) - sum(y) AS neg FROM scored GROUP BY l_linenumber, p1),
+s AS (SELECT *, sum(pos) OVER (PARTITION BY l_linenumber ORDER BY p1 DESC) AS tps FROM g),
+a AS (SELECT l_linenumber, sum(neg * (tps - pos / 2.0::DOUBLE)) / (sum(pos)::DOUBLE * sum(neg)) AS auc
+      FROM s GROUP BY l_linenumber),
+m AS (SELECT l_linenumber, count(*)::BIGINT AS nobs, avg((y - p1) * (y - p1)) AS mse, var_pop(y) AS vy FROM scored
+      GROUP BY l_linenumber)
+SELECT l_linenumber, nobs, {r('mse')} AS mse, {r('1 - mse / vy')} AS r2, {r('auc')} AS auc FROM m JOIN a USING (l_linenumber)"""
+_LABELLED = f"""WITH {MISSING_SQL}, labelled AS (
+  SELECT o_orderkey, CAST(o_totalprice > 250000 OR c_nationkey % 5 = 0 AS INTEGER) AS y FROM miss)"""
+ORACLES["train_lr_folds"] = f"""{_LABELLED}
+SELECT ({hash_int(['o_orderkey'], 'fold')} % 3)::INTEGER AS fold, count(*)::BIGINT AS n, sum(y)::BIGINT AS positives,
+       count(*)::BIGINT AS scored FROM labelled GROUP BY 1"""
+ORACLES["train_holdout"] = f"""{_LABELLED}
+SELECT CASE WHEN {hash_int(['o_orderkey'], 'split')} / 4294967296.0::DOUBLE < 0.7::DOUBLE THEN 'trained' ELSE 'judged' END
+       AS side, count(*)::BIGINT AS n, sum(y)::BIGINT AS positives FROM labelled GROUP BY 1"""
 ORACLES["metric_sets"] = f"""WITH {SCORED_SQL}, {_set('train', '<')}, {_set('valid', '>=')}
 """ + union(f"""SELECT '{w}' AS split, nobs, {r('mse')} AS mse, {r('logloss')} AS logloss, {r('auc')} AS auc
 FROM m_{w}""" for w in ("train", "valid"))

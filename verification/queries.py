@@ -415,8 +415,8 @@ def chi_merge_strong(spark, d):
 
 @query
 def merge_groups_streamed(spark, d):
-    """The pass for variables with very many levels, forced on all variables."""
-    return woe.merge_groups(stage(_strong_woe(spark, d)), fold_limit=1).select("variable", "bin", "group")
+    """The walk in slices, as for variables with very many levels, forced on all variables."""
+    return woe.merge_groups(stage(_strong_woe(spark, d)), slice_bins=12).select("variable", "bin", "group")
 
 
 @query
@@ -609,11 +609,36 @@ def _metrics(result: training.TrainingResult) -> DataFrame:
     return score.overall_metrics(steps, describe.fitted_parameters(result.model))
 
 
+@query
+def metrics_by_line(spark, d):
+    """The metrics of several groups of scored rows from one pass."""
+    found = score.metrics_by(scored(spark, d), ["l_linenumber"])
+    return rounded(found.select("l_linenumber", "nobs", "mse", "r2", "auc"))
+
+
 @query
 def train_lr(spark, d):
     return _metrics(_train(spark, d, "LR", {"alpha": [0, 1], "lambda": [0, 0.1]}, 2))
 
 
+@query
+def train_lr_folds(spark, d):
+    """Rows, positives and scored rows of each fold that the grid search judged on."""
+    result = _train(spark, d, "LR", {"alpha": [0, 1], "lambda": [0.1]}, 3)
+    return result.evaluation.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("y").cast("bigint").alias("positives"),
+        F.count_if(F.col("p1").between(0, 1)).alias("scored"))
+
+
+@query
+def train_holdout(spark, d):
+    """Rows and positives of the two sides of the 70/30 holdout, as trained and as judged."""
+    result = _train(spark, d, "NB", {"laplace": [1]}, 1)
+    judged = result.evaluation.select(F.lit("judged").alias("side"), "y")
+    return judged.unionByName(result.train.select(F.lit("trained").alias("side"), "y")).groupBy("side").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("y").cast("bigint").alias("positives"))
+
+
 @query
 def train_gbm(spark, d):
     return _metrics(_train(spark, d, "GBM", {"ntrees": [10], "max_depth": [3, 5], "learn_rate": [0.1],
