@@ -3,7 +3,7 @@
 A task counts phrases in a shallow trie over the ids of its words. The leaves are hash containers, each
 of which holds a range of keys; one that is full bursts into two at a word's border, first a border
 of the first word, then deeper. When the trie is too large, whole subtrees leave it as sorted runs:
-rows of a prefix with its suffixes and counts, which Spark deals by prefix and adds up.
+rows of phrases and counts, one row per prefix partition, which Spark deals out and adds up.
 
 Counting goes by length. Words come first; pairs are counted where both words are frequent, longer
 phrases where all of their pairs are. What is frequent goes to the tasks as a bit field of fixed
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -33,16 +34,17 @@ COVERED = 80
 FIELD_BITS = 1 << 26
 #: Bytes of text handled at once, entries of a container, entries of all tries of a task, words of its dictionaries.
 CHUNK_BYTES, BURST, HELD, HELD_WORDS = 1_000_000, 1 << 15, 1_500_000, 400_000
-#: A prefix with this share of all words is dealt to several tasks.
-HOT_SHARE, HOT_DEALS = 1000, 64
-WORD_DEALS = 1024
+#: Prefix partitions of a language at least; beyond, a 16th of the root of the number of words.
+DEALS = 1024
+#: A prefix with this share of all words has no partition of its own: its phrases are spread over all.
+HOT_SHARE = 1000
 NO_LANGUAGE = "und"
 
 #: A-Z lower-cased, tab as blank, the marks that end a piece as line feed.
 _MAPPED = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else 10 if b in b".,;:!?\x0a\x0b\x0c\x0d" else b for b in range(256))
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
-_RUNS = "lang string, prefix binary, deal int, suffixes binary, counts string"
+_RUNS = "lang string, deal int, phrases binary, counts string"
 
 
 # ------------------------------------------------------------------ the trie of one task
@@ -222,8 +224,11 @@ def chunks(texts: list[bytes], size: int = CHUNK_BYTES) -> Iterator[bytes]:
 # ------------------------------------------------------------------ runs
 
 def _run_rows(lang: str, names: list[bytes], keys: np.ndarray, counts: np.ndarray, length: int, bits: int,
-              hot: set[bytes]) -> Iterator[tuple]:
-    """A sorted run as rows of (language, prefix, deal, suffixes, counts); the prefix is one word of a pair, else two."""
+              deals: int, hot: set[bytes]) -> Iterator[tuple]:
+    """A sorted run as a row (language, deal, phrases, counts) per prefix partition.
+
+    A phrase is dealt by its first word (a pair) or its first two, or by all of it if that prefix is hot.
+    """
     import zlib
 
     head = 1 if length == 2 else 2
@@ -234,29 +239,39 @@ def _run_rows(lang: str, names: list[bytes], keys: np.ndarray, counts: np.ndarra
         suffixes = [a + b" " + names[i] for a, i in zip(suffixes, places[head + 1].tolist())]
     top = keys >> np.uint64(bits * (length - head))
     starts = np.flatnonzero(np.append(True, top[1:] != top[:-1]))
-    numbers = counts.tolist()
+    ends, numbers = [*starts[1:].tolist(), len(keys)], counts.tolist()
     firsts = [p[starts].tolist() for p in places[:head]]
-    for place, (a, b) in enumerate(zip(starts.tolist(), [*starts[1:].tolist(), len(keys)])):
+    dealt: dict[int, tuple[list[bytes], list[int]]] = defaultdict(lambda: ([], []))
+    for place, (a, b) in enumerate(zip(starts.tolist(), ends)):
         prefix = b" ".join([names[f[place]] for f in firsts])
         if prefix in hot:
-            dealt: dict[int, list[int]] = defaultdict(list)
-            for i in range(a, b):
-                dealt[1 + zlib.crc32(suffixes[i]) % HOT_DEALS].append(i)
-            for deal, held in dealt.items():
-                yield (lang, prefix, deal, b"\n".join([suffixes[i] for i in held]), ",".join([str(numbers[i]) for i in held]))
+            for suffix, number in zip(suffixes[a:b], numbers[a:b]):
+                phrase = prefix + b" " + suffix
+                held = dealt[zlib.crc32(phrase) % deals]
+                held[0].append(phrase)
+                held[1].append(number)
         else:
-            yield lang, prefix, 0, b"\n".join(suffixes[a:b]), ",".join(map(str, numbers[a:b]))
+            held, begin = dealt[zlib.crc32(prefix) % deals], prefix + b" "
+            held[0].extend([begin + suffix for suffix in suffixes[a:b]])
+            held[1].extend(numbers[a:b])
+    yield from _dealt_rows(lang, dealt)
+
+
+def _dealt_rows(lang: str, dealt: dict[int, tuple[list[bytes], list[int]]]) -> Iterator[tuple]:
+    for deal, (phrases, numbers) in dealt.items():
+        yield lang, deal, b"\n".join(phrases), ",".join(map(str, numbers))
 
 
-def _word_rows(lang: str, names: list[bytes], counts: np.ndarray) -> Iterator[tuple]:
-    """Word counts as rows without prefix, dealt by the words' hashes."""
+def _word_rows(lang: str, names: list[bytes], counts: np.ndarray, deals: int) -> Iterator[tuple]:
+    """Word counts as the same rows."""
     import zlib
 
-    dealt: dict[int, list[int]] = defaultdict(list)
+    dealt: dict[int, tuple[list[bytes], list[int]]] = defaultdict(lambda: ([], []))
     for i in np.flatnonzero(counts).tolist():
-        dealt[zlib.crc32(names[i]) % WORD_DEALS].append(i)
-    for deal, held in dealt.items():
-        yield lang, b"", deal, b"\n".join([names[i] for i in held]), ",".join([str(counts[i]) for i in held])
+        held = dealt[zlib.crc32(names[i]) % deals]
+        held[0].append(names[i])
+        held[1].append(int(counts[i]))
+    yield from _dealt_rows(lang, dealt)
 
 
 def _frames(rows: Iterator[tuple], size: int = 2_000) -> Iterator[pd.DataFrame]:
@@ -264,18 +279,18 @@ def _frames(rows: Iterator[tuple], size: int = 2_000) -> Iterator[pd.DataFrame]:
     for row in rows:
         held.append(row)
         if len(held) >= size:
-            yield pd.DataFrame(held, columns=["lang", "prefix", "deal", "suffixes", "counts"])
+            yield pd.DataFrame(held, columns=["lang", "deal", "phrases", "counts"])
             held = []
     if held:
-        yield pd.DataFrame(held, columns=["lang", "prefix", "deal", "suffixes", "counts"])
+        yield pd.DataFrame(held, columns=["lang", "deal", "phrases", "counts"])
 
 
 class Counter:
     """What a task holds of one language: its words, its tries (or word counts), and the words before the next chunk."""
 
     def __init__(self, lang: str, lengths: tuple[int, ...], words: np.ndarray | None, pairs: np.ndarray | None,
-                 hot: dict[str, set[bytes]]):
-        self.lang, self.lengths, self.pairs, self.hot = lang, lengths, pairs, hot.get(lang, set())
+                 hot: dict[str, set[bytes]], deals: int):
+        self.lang, self.lengths, self.pairs, self.hot, self.deals = lang, lengths, pairs, hot.get(lang, set()), deals
         self.words, self.counts = Words(lang, words), np.zeros(2, np.int64)
         self.tries = {n: Trie(n) for n in lengths if n > 1}
         # a trie's ids have 64 / length bits; where the dictionary may hold more words, it numbers those it holds
@@ -337,19 +352,19 @@ class Counter:
         if n in self.own:
             names = [names[i] for i in self.own[n]]
         for keys, counts in self.tries[n].take(keep):
-            yield from _run_rows(self.lang, names, keys, counts, n, self.tries[n].bits, self.hot)
+            yield from _run_rows(self.lang, names, keys, counts, n, self.tries[n].bits, self.deals, self.hot)
 
     def rest(self) -> Iterator[tuple]:
         """All that is left."""
         if 1 in self.lengths:
             self.counts[:2] = 0
-            yield from _word_rows(self.lang, list(self.words.ids), self.counts)
+            yield from _word_rows(self.lang, list(self.words.ids), self.counts, self.deals)
         for n in self.tries:
             yield from self.runs(n, 0)
 
 
 def counting(lengths: tuple[int, ...], words: np.ndarray | None = None, pairs: np.ndarray | None = None,
-             hot: dict[str, set[bytes]] | None = None, held: int = HELD, held_words: int = HELD_WORDS,
+             hot: dict[str, set[bytes]] | None = None, deals: int = DEALS, held: int = HELD, held_words: int = HELD_WORDS,
              chunk: int = CHUNK_BYTES) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """A function of batches (``lang, text`` as bytes) that counts phrases of the lengths and gives sorted runs.
 
@@ -363,7 +378,7 @@ def counting(lengths: tuple[int, ...], words: np.ndarray | None = None, pairs: n
                 for lang, texts in batch.groupby("lang", sort=False)["text"]:
                     for text in chunks(list(texts), chunk):
                         if lang not in states:
-                            states[lang] = Counter(lang, lengths, words, pairs, hot or {})
+                            states[lang] = Counter(lang, lengths, words, pairs, hot or {}, deals)
                         yield from states[lang].count(text)
                         if sum(s.size for s in states.values()) > held:
                             for s in states.values():
@@ -377,7 +392,7 @@ def counting(lengths: tuple[int, ...], words: np.ndarray | None = None, pairs: n
                                 names = list(gone.words.ids)
                                 before = b" ".join([names[i] for i in gone.words.before.tolist()])
                         if before is not None:  # the words before the next chunk go on
-                            states[lang] = Counter(lang, lengths, words, pairs, hot or {})
+                            states[lang] = Counter(lang, lengths, words, pairs, hot or {}, deals)
                             states[lang].words.before = states[lang].words.read(before)
             for s in states.values():
                 yield from s.rest()
@@ -390,15 +405,14 @@ def counting(lengths: tuple[int, ...], words: np.ndarray | None = None, pairs: n
 def merged(runs: DataFrame, least: int) -> DataFrame:
     """``lang, phrase, f`` of the phrases that all runs together count at least ``least`` times.
 
-    Runs are dealt by prefix and deal; adding up needs no further exchange, as each phrase has one of both.
+    Runs are dealt by language and prefix partition; adding up needs no further exchange, as a phrase has one of each.
     """
-    suffixes, counts = (F.split(F.col(c).cast("string"), sep) for c, sep in (("suffixes", "\n"), ("counts", ",")))
-    return (runs.repartition("lang", "prefix", "deal")
-            .select("lang", "prefix", "deal", F.explode(F.arrays_zip(suffixes.alias("suffix"), counts.alias("n"))).alias("e"))
-            .groupBy("lang", "prefix", "deal", F.col("e.suffix").alias("suffix"))
+    phrases, counts = (F.split(F.col(c).cast("string"), sep) for c, sep in (("phrases", "\n"), ("counts", ",")))
+    return (runs.repartition("lang", "deal")
+            .select("lang", "deal", F.explode(F.arrays_zip(phrases.alias("phrase"), counts.alias("n"))).alias("e"))
+            .groupBy("lang", "deal", F.col("e.phrase").alias("phrase"))
             .agg(F.sum(F.col("e.n").cast("long")).alias("f")).where(F.col("f") >= least)
-            .select("lang", F.when(F.length("prefix") == 0, F.col("suffix")).otherwise(
-                F.concat(F.col("prefix").cast("string"), F.lit(" "), F.col("suffix"))).alias("phrase"), "f"))
+            .select("lang", "phrase", "f"))
 
 
 def _hot(frequent: DataFrame, total: int) -> dict[str, set[bytes]]:
@@ -424,8 +438,10 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     total = int(sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     words = stage(every.where(F.col("f") >= least), "words")
     field = bit_field(words)
-    pairs = stage(merged(rows.mapInPandas(counting((2,), field, None, _hot(words, total)), _RUNS), least), "pairs")
-    longer = stage(merged(rows.mapInPandas(counting((3, 4), field, bit_field(pairs), _hot(pairs, total)), _RUNS), least), "phrases")
+    deals = max(DEALS, isqrt(total) // 16)
+    pairs = stage(merged(rows.mapInPandas(counting((2,), field, None, _hot(words, total), deals), _RUNS), least), "pairs")
+    longer = stage(merged(rows.mapInPandas(
+        counting((3, 4), field, bit_field(pairs), _hot(pairs, total), deals), _RUNS), least), "phrases")
     found = words.unionByName(pairs).unionByName(longer)
     return sizes, found.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("words"), "f")
 

@@ -80,9 +80,9 @@ def counted(docs, lengths, **limits):
     total, times = Counter(), Counter()
     batches = [frame.iloc[i:i + 50] for i in range(0, len(frame), 50)]
     for out in co.counting(lengths, full, full if max(lengths) > 2 else None, **limits)(iter(batches)):
-        for lang, prefix, _, suffixes, numbers in out.itertuples(index=False):
-            for s, n in zip(suffixes.split(b"\n"), numbers.split(",")):
-                phrase = (lang, b" ".join([prefix, s]) if prefix else s)
+        for lang, _, phrases, numbers in out.itertuples(index=False):
+            for s, n in zip(phrases.split(b"\n"), numbers.split(",")):
+                phrase = (lang, s)
                 total[phrase] += int(n)
                 times[phrase] += 1
     return total, max(times.values())
@@ -105,13 +105,13 @@ def test_task_counts_under_any_limit(limits):
     assert got == want
 
 
-def test_hot_prefix_is_dealt():
-    docs = [("en", " ".join(f"the w{i}" for i in range(500)))]
-    frame = pd.DataFrame([("en", docs[0][1].encode())], columns=["lang", "text"])
+def test_hot_prefix_is_spread():
+    frame = pd.DataFrame([("en", " ".join(f"the w{i}" for i in range(500)).encode())], columns=["lang", "text"])
     full = np.full(64, ~np.uint64(0), np.uint64)
-    out = pd.concat(co.counting((2,), full, None, {"en": {b"the"}})(iter([frame])))
-    dealt = out[out["prefix"] == b"the"]
-    assert len(dealt) > 40 and sum(len(s.split(b"\n")) for s in dealt["suffixes"]) == 500
+    for hot, spread in ((None, False), ({"en": {b"the"}}, True)):
+        out = pd.concat(co.counting((2,), full, None, hot)(iter([frame])))
+        begun = [sum(p.startswith(b"the ") for p in phrases.split(b"\n")) for phrases in out["phrases"]]
+        assert sum(begun) == 500 and (max(begun) < 20 if spread else max(begun) == 500)
 
 
 @pytest.mark.parametrize("length", [2, 3, 4])
