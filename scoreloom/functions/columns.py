@@ -182,6 +182,7 @@ def merge_limit(p_threshold: float) -> float:
 # classification rates
 # --------------------------------------------------------------------------
 
+# Names of the reported rates.
 RATE_NAMES = ("f1", "f2", "f0point5", "accuracy", "precision", "recall", "specificity",
               "absolute_mcc", "min_per_class_accuracy", "mean_per_class_accuracy",
               "tnr", "fnr", "fpr", "tpr")

@@ -30,7 +30,7 @@ def merge(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     right_keys = list(right_keys or left_keys)
     left_keys = list(left_keys)
     if len(left_keys) != len(right_keys):
-        raise ValueError("number of keys should be equal")
+        raise ValueError(f"{len(left_keys)} left keys cannot pair with {len(right_keys)} right keys")
     if not left_keys:
         raise ValueError("a join needs keys")
     values = [c for c in right.columns if c not in right_keys]

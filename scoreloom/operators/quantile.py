@@ -26,7 +26,6 @@ from scoreloom.functions.reshape import to_long
 SPLITTERS = 128
 SAMPLE_ROWS = 50_000
 CELL_ROWS = 20_000_000
-MAX_ROUNDS = 12
 
 
 @dataclass
@@ -125,7 +124,10 @@ def _rank_values(long: DataFrame, open_cells: dict[str, list[_Cell]]) -> dict[tu
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                     cell_rows: int = CELL_ROWS) -> DataFrame:
-    """``(variable, probability, value)``, linear interpolation, NULL and NaN skipped."""
+    """``(variable, probability, value)``, linear interpolation, NULL and NaN skipped.
+
+    Cells of more than ``cell_rows`` rows are cut again until none that holds a wanted rank is left.
+    """
     probs = sorted(set(probs))
     # adding 0.0 makes -0.0 and 0.0 the same bits
     doubles = {c: column(c).cast("double") + F.lit(0.0) for c in columns}
@@ -138,7 +140,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     ranks: dict[str, list[int]] = {}
     totals: dict[str, int] = {}
     known: dict[str, dict[int, float]] = {}
-    for _ in range(MAX_ROUNDS):
+    while True:
         long = _long_cells(wide, cuts)
         counted = _count(long)
         open_cells: dict[str, list[_Cell]] = {}
@@ -159,6 +161,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         share = min(1.0, SAMPLE_ROWS * len(sizes) / sum(sizes))
         again = _marked(long, large)
         finer = _splitters(again if share >= 1 else again.sample(share, seed=1), ["variable", "cell"])
+        # the least and the largest value of a cell get cells of their own, so every round cuts off values
         cuts = {v: _cuts([x for c in cells for x in (c.low, c.high, *finer.get((v, c.number), []))])
                 for v, cells in open_cells.items()}
         wide = wide.select(*[column(v) for v in open_cells])

@@ -27,6 +27,7 @@ BEST_METRICS = ("min_per_class_accuracy", "absolute_mcc", "precision", "recall",
 # Shares of the best scores that close the gains/lift groups.
 GAINS_SHARES = (0.01, 0.02, 0.03, 0.04, 0.05, 0.10, 0.15, 0.20,
                 0.30, 0.40, 0.50, 0.60, 0.70, 0.80, 0.90, 1.00)
+# Columns of the score-band tables.
 BAND_METRICS = ("tps", "fps", "tns", "fns", "recall", "precision", "accuracy", "specificity")
 
 

@@ -8,6 +8,7 @@ grid point; folds and holdouts come from a row hash, so reruns agree.
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -39,8 +40,9 @@ from scoreloom.operators.sample import holdout, modulo_fold
 
 FEATURES = "__features"
 CLASSIFIERS = ("DL", "LR", "GBM", "NB", "RF")
-# the correlation matrix for the collinearity check is square in this
-COLLINEAR_WIDTH = 2_000
+# The driver holds a matrix of slots x slots doubles for the collinearity check, up to 288 MB; beyond it
+# the check is left out with a warning.
+COLLINEAR_WIDTH = 6_000
 
 
 # --------------------------------------------------------------------------
@@ -165,17 +167,27 @@ def independent_slots(df: DataFrame, features: str = FEATURES, width: int | None
     """Slots left after removing constant and collinear ones, None when all stay.
 
     One distributed pass gives the correlation matrix (slots x slots, so its size
-    does not depend on the rows); a pivoting elimination on it finds dependencies.
+    does not depend on the rows); an elimination on it, slot by slot, finds dependencies.
     """
     if width is not None and width > COLLINEAR_WIDTH:
+        warnings.warn(f"{width} slots: collinear ones are not looked for beyond {COLLINEAR_WIDTH}", stacklevel=2)
         return None
-    matrix = Correlation.corr(df, features).first()[0].toArray()
-    work = np.where(np.isnan(matrix), 0.0, matrix)
+    return independent_columns(np.nan_to_num(Correlation.corr(df, features).first()[0].toArray(), nan=0.0, copy=False))
+
+
+def independent_columns(matrix: np.ndarray, least: float = 1e-8) -> list[int] | None:
+    """The columns of a correlation matrix that no earlier ones give, None when all are, or none.
+
+    Each kept column adds one factor column; what the factors leave of a column's own entry decides.
+    """
+    factors = np.zeros_like(matrix)
     kept: list[int] = []
-    for j in range(len(work)):
-        if work[j, j] > 1e-8:
+    for j in range(len(matrix)):
+        k = len(kept)
+        rest = matrix[j:, j] - factors[j:, :k] @ factors[j, :k]
+        if rest[0] > least:
+            factors[j:, k] = rest / np.sqrt(rest[0])
             kept.append(j)
-            work = work - np.outer(work[:, j], work[j]) / work[j, j]
     return None if len(kept) == len(matrix) or not kept else kept
 
 
@@ -197,7 +209,7 @@ def _tree_names(params: dict) -> dict:
     return out
 
 
-# hyper-parameters each algorithm accepts
+# Hyper-parameters each algorithm accepts.
 ACCEPTED = {
     "LR": {"alpha", "lambda"},
     "GBM": {"ntrees", "max_depth", "learn_rate", "min_rows", "sample_rate",

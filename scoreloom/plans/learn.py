@@ -205,6 +205,7 @@ def train(spark: SparkSession, prepared: Prepared, config: LearnConfig):
                                            config.hparams, config.cv_k, levels)
     evaluation = stage(result.evaluation, "evaluation")
     metrics = score.classification_report(evaluation, parameters=describe.fitted_parameters(result.model))
+    metrics["overall_metrics_by_set"] = metrics_by_set(result, y, evaluation)
     best_f1 = metrics["best_thresholds"].where(F.col("metric") == "f1").first()
     result.model.threshold = float(best_f1["threshold"])
     folds = result.folds if result.kind == "xval" else 0
@@ -212,6 +213,17 @@ def train(spark: SparkSession, prepared: Prepared, config: LearnConfig):
     return result.model, properties, metrics
 
 
+def metrics_by_set(result: training.TrainingResult, y: str, evaluation: DataFrame) -> DataFrame:
+    """The overall metrics of the training rows and of the rows that judge the model, from one pass over both.
+
+    ``split`` is ``train`` and ``xval`` or ``valid``; the training rows are scored by the final model.
+    """
+    seen = result.model.score(result.train).select(column(y).cast("int").alias("y"), "p1", F.lit("train").alias("split"))
+    judged = evaluation.select(F.col("y").cast("int").alias("y"), "p1", F.lit(result.kind).alias("split"))
+    return score.metrics_by(seen.unionByName(judged), ["split"])
+
+
+# Names of the artefact files.
 PROPERTY_FILES = {"cross_validation_summary": "cross-validation-summary.csv",
                   "variable_importance": "variable-importance.csv",
                   "variable_coefficients": "variable-coefficients.csv"}

@@ -240,3 +240,18 @@ def test_sliced_walk_of_a_wide_factor(spark):
     plan = woe.merge_groups(table)._jdf.queryExecution().executedPlan().toString()
     assert "InPandas" not in plan and "Python" not in plan
     assert woe.merged_levels(woe.merge_groups(table)).count() == 2_001
+
+
+@pytest.mark.parametrize("cell_rows", [20_000_000, 40, 3])
+def test_quantiles_at_any_cell_size(spark, cell_rows):
+    """Cells are cut again until none is large, however many rounds that takes."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=900), np.repeat(1.5, 600), rng.integers(0, 4, 500), [-0.0, 1e300, -1e300]])
+    y = np.where(np.arange(len(x)) % 5 == 0, np.nan, np.arange(len(x)) % 7)
+    df = spark.createDataFrame([(float(a), float(b), None) for a, b in zip(x, y)], "x double, y double, z double").repartition(4)
+    probs = [0.0, 0.01, 0.05, 0.25, 1 / 3, 0.5, 0.8, 0.995, 1.0]
+    got = {(r.variable, r.probability): r.value for r in quantile.exact_quantiles(df, ["x", "y", "z"], probs, cell_rows).collect()}
+    assert len(got) == 2 * len(probs)
+    for name, values in (("x", x), ("y", y[~np.isnan(y)])):
+        for p in probs:
+            assert got[name, p] == pytest.approx(np.quantile(values, p), rel=1e-12), (name, p)

@@ -49,6 +49,26 @@ def test_train_save_load_predict(spark, data, tmp_path, algorithm, cv_k):
         assert "Intercept" in {r.variable for r in tables["variable_coefficients"].collect()}
 
 
+def test_no_pair_is_fitted_twice(spark, data, monkeypatch):
+    """Points times folds, and the winner once on all rows; the score that ranks a point is the exact AUC."""
+    from pyspark.ml.classification import LogisticRegression
+
+    fits, plain = [], LogisticRegression._fit
+    monkeypatch.setattr(LogisticRegression, "_fit", lambda self, df: fits.append(1) or plain(self, df))
+    grid = {"alpha": [0], "lambda": [0.0, 0.05, 5.0]}
+    result = training.train_classifier(data, "y", NUMERIC, FACTORS, "LR", ["id"], grid, 3)
+    assert len(fits) == 3 * 3 + 1
+    best = max(result.model.trials, key=lambda t: t["auc"])
+    assert {k: best[k] for k in grid} == result.model.params
+    per_fold = []
+    for k in range(3):
+        held = [(r.p1, r.y) for r in result.evaluation.where(F.col("fold") == k).collect()]
+        pos, neg = [p for p, y in held if y], [p for p, y in held if not y]
+        per_fold.append(sum((p > q) + (p == q) / 2 for p in pos for q in neg) / len(pos) / len(neg))
+    assert best["auc"] == pytest.approx(sum(per_fold) / 3)
+    assert result.evaluation.count() == data.count()
+
+
 def test_stacking(spark, data, tmp_path):
     result = training.train_stacking(data, "y", NUMERIC, FACTORS, {k: SMALL[k] for k in ("LR", "RF", "NB")},
                                      ["id"], 2)
@@ -80,6 +100,19 @@ def test_collinear_columns_go(spark, data):
     assert result.model.predictor.numFeatures == 1
 
 
+def test_collinear_slots_of_a_wide_table(spark):
+    """At 2,500 slots two copies and a sum of others are found."""
+    from pyspark.ml.linalg import Vectors
+
+    n = 2_500
+    draws = [{i % (n - 3): 1.0 + i % 3} for i in range(4 * n)]
+    for d in draws:
+        d |= {n - 3: d.get(0, 0.0), n - 2: 3 * d.get(7, 0.0), n - 1: d.get(1, 0.0) - d.get(2, 0.0)}
+    df = spark.createDataFrame([(Vectors.sparse(n, d),) for d in draws], [training.FEATURES])
+    kept = training.independent_slots(df, width=n)
+    assert kept == list(range(n - 3))
+
+
 def test_naive_bayes_formula(spark):
     df = spark.createDataFrame([("a", 1.0, 1), ("a", 3.0, 1), ("b", 5.0, 1), ("b", 4.0, 0), ("b", 6.0, 0),
                                 ("a", None, 0), (None, 7.0, 0)], "f string, x double, y int")

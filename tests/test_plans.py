@@ -70,6 +70,11 @@ def test_naive_bayes_fill_travels_with_the_model(spark, table, tmp_path):
     stored = json.loads(spark.read.text(folder + "/learn/learn_preprocess.json").first()[0])
     assert stored["fill"] == result.prepared.fill
     assert result.prepared.data.df.where("n1 is null").count() == 0
+    by_set = {r.split: r for r in result.metrics["overall_metrics_by_set"].collect()}
+    judged = result.metrics["overall_metrics"].first()
+    assert "train" in by_set and len(by_set) == 2
+    other = next(r for k, r in by_set.items() if k != "train")
+    assert other.nobs == judged.nobs and other.auc == pytest.approx(judged.auc) and by_set["train"].nobs >= other.nobs
 
 
 def test_kmeans_plan(spark, table, tmp_path):
