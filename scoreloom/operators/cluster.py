@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scoreloom.functions.columns import column
+from scoreloom.functions.staging import stage
 
 
 def _square_distance(columns: Sequence[str], centre: Sequence[float]) -> Column:
@@ -46,3 +50,53 @@ def cluster_quality(assigned: DataFrame, columns: Sequence[str], cluster: str =
     totals = (assigned.agg(spread.alias("totss"), F.sum(distance).alias("tot_withinss"))
               .withColumn("betweenss", F.col("totss") - F.col("tot_withinss")))
     return totals, per
+
+
+#: One judged model: the part of the rows it is judged on, the set and fold it is reported under, its number, its centres.
+Judged = tuple[int, str, int, int, Sequence[Sequence[float]]]
+
+
+def quality_by_set(rows: DataFrame, vector: str, part: str, models: Sequence[Judged]) -> tuple[DataFrame, DataFrame]:
+    """Cluster quality of many models, each on the parts of the rows it names, from one pass over the rows.
+
+    ``rows`` has a vector column and the number of its part. Returns totals ``(set, model, size, totss,
+    tot_withinss, betweenss)`` and clusters ``(set, model, fold, cluster, size, withinss)``. A set's totals are
+    the sums over its folds, with ``totss`` to the mean of each fold. A cluster that no row is nearest to has
+    size 0; a fold without rows adds nothing.
+
+    The centres go to the tasks as one table with a row per judged model and part, sized by the grid.
+    """
+    spark = rows.sparkSession
+    # proven bound: grid points x folds rows of k x slots numbers
+    table = spark.createDataFrame(
+        [(p, name, m, f, [[float(v) for v in c] for c in centres]) for p, name, m, f, centres in models],
+        "at int, set string, model int, fold int, centres array<array<double>>")
+    keys = ["set", "model", "fold"]
+
+    def square_distance(centre: Column) -> Column:
+        gaps = F.zip_with("__v", centre, lambda a, b: (a - b) * (a - b))
+        return F.aggregate(gaps, F.lit(0.0), lambda s, g: s + g)
+
+    options = F.transform("centres", lambda c, i: F.struct(square_distance(c).alias("d"), i.alias("k")))
+    nearest = (rows.select(column(part).alias("at"), column(vector).alias("__x"), vector_to_array(column(vector)).alias("__v"))
+               .join(F.broadcast(table), "at").withColumn("best", F.array_min(options)))
+    # one row per cluster of a judged model, read twice
+    per = stage(nearest.groupBy(*keys, F.col("best.k").alias("cluster")).agg(
+        F.count(F.lit(1)).alias("size"), F.sum("best.d").alias("withinss"),
+        Summarizer.metrics("mean", "variance").summary(F.col("__x")).alias("s"))
+        .select(*keys, "cluster", "size", "withinss", vector_to_array("s.mean").alias("mean"),
+                vector_to_array("s.variance").alias("variance")), "clusters")
+
+    slots = per.select(*keys, "size", F.posexplode(F.arrays_zip("mean", "variance")).alias("slot", "m"))
+    whole = W.partitionBy(*keys, "slot")
+    grand = F.sum(F.col("size") * F.col("m.mean")).over(whole) / F.sum("size").over(whole)
+    gap = F.col("m.mean") - grand
+    spread = slots.select("set", "model", (F.col("m.variance") * (F.col("size") - 1) + F.col("size") * gap * gap).alias("ss"))
+    within = per.groupBy("set", "model").agg(F.sum("size").alias("size"), F.sum("withinss").alias("tot_withinss"))
+    totals = (within.join(spread.groupBy("set", "model").agg(F.sum("ss").alias("totss")), ["set", "model"])
+              .select("set", "model", "size", "totss", "tot_withinss",
+                      (F.col("totss") - F.col("tot_withinss")).alias("betweenss")))
+    every = table.select(*keys, F.explode(F.sequence(F.lit(0), F.size("centres") - 1)).alias("cluster")).distinct()
+    clusters = (every.join(per.select(*keys, "cluster", "size", "withinss"), [*keys, "cluster"], "left")
+                .fillna({"size": 0, "withinss": 0.0}))
+    return totals, clusters

@@ -27,14 +27,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Matrices
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.stat import Correlation, Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.functions.columns import column
+from scoreloom.functions.columns import column, hash_share
 from scoreloom.functions.staging import stage
 from scoreloom.operators.bayes import (
     BayesTables, bayes_score, bayes_tables, load_bayes, save_bayes)
-from scoreloom.operators.folds import FoldFits, fit_folds
+from scoreloom.operators.cluster import quality_by_set
+from scoreloom.operators.folds import FoldFits, fit_folds, in_parallel
 from scoreloom.operators.grids import combinations, default_folds, default_grid
 from scoreloom.operators.sample import holdout, modulo_fold
 
@@ -484,6 +485,8 @@ class TrainingResult:
     folds: int
     holdout: DataFrame | None = None
     train: DataFrame | None = None
+    quality: DataFrame | None = None   # k-means: sums of squares by set
+    clusters: DataFrame | None = None  # k-means: sizes by set, fold and cluster
 
 
 def train_classifier(df: DataFrame, label: str, numeric: Sequence[str], factors: Sequence[str],
@@ -606,46 +609,67 @@ def centre_quality(predictor: KMeansModel, shaped: DataFrame) -> tuple[DataFrame
 
 def train_kmeans(df: DataFrame, numeric: Sequence[str], factors: Sequence[str], keys: Sequence[str],
                  hparams: dict | None = None, cv_k: int | None = None) -> TrainingResult:
-    """Grid search by the between-cluster sum of squares on held-out rows."""
+    """Grid search by the between-cluster sum of squares on held-out rows.
+
+    Sums of squares can be compared only on one scale, so each scaling has one feature pipeline, fitted on all
+    training rows, and one staged feature table with the number of the fold; folds are filters of it. All
+    (point, fold) models are judged by one pass over a table. The result holds the winner's totals and clusters
+    of the sets ``train`` and ``xval`` or ``valid``.
+    """
     used = list(dict.fromkeys([*numeric, *factors, *keys]))
-    df = df.select(*[column(c) for c in used])
-    rows = df.count()
+    part = "__part"
+    known = df.select(*[column(c) for c in used])
+    rows = None
+    if cv_k is None or hparams is None:
+        known = stage(known, "train")
+        rows = known.count()
     folds = default_folds("KM", rows) if cv_k is None else cv_k
     points = combinations(hparams or default_grid("KM", rows))
     for p in points:
         unknown = set(p) - ACCEPTED["KM"]
         if unknown:
             raise ValueError(f"KM has no hyper-parameters {sorted(unknown)}")
-    if folds >= 2:
-        train, valid = stage(df.withColumn("__fold", modulo_fold(keys, folds)), "train"), None
-        splits = [(train.where(F.col("__fold") != k), train.where(F.col("__fold") == k))
-                  for k in range(folds)]
-    else:
-        part, valid = holdout(df, keys)
-        train, valid = stage(part, "train"), stage(valid, "valid")
-        splits = [(train, valid)]
-    shapes = {s: feature_pipeline(numeric, factors, one_hot=True, missing_flags=False, scale=s,
-                                  centre=True).fit(train)
-              for s in {bool(p.get("standardize", True)) for p in points}}
-    # one staged feature table per scaling, shared by all grid points
-    shaped = {s: [tuple(stage(f.transform(part).select(FEATURES), "features") for part in pair)
-                  for pair in splits] for s, f in shapes.items()}
-
-    def fit(params: dict, part: DataFrame) -> KMeansModel:
-        return KMeans(featuresCol=FEATURES, k=int(params.get("k", 3)), seed=1,
-                      maxIter=int(params.get("max_iterations", 20))).fit(part)
+    crossed = folds >= 2
+    number = modulo_fold(keys, folds) if crossed else F.when(hash_share(keys, "split:1") < F.lit(0.7), 0).otherwise(1)
+    whole = stage(known.withColumn(part, number.cast("int")), "train")
+    train = whole if crossed else whole.where(F.col(part) == 0)
 
-    scores = []
-    for p in points:
-        pairs = shaped[bool(p.get("standardize", True))]
-        if len(points) == 1:
-            scores.append(None)
-            continue
-        scores.append(float(np.mean([
-            centre_quality(fit(p, a), b)[0].first()["betweenss"] for a, b in pairs])))
-    best = int(np.argmax(scores)) if len(points) > 1 else 0
-    features = shapes[bool(points[best].get("standardize", True))]
-    whole = stage(features.transform(train).select(FEATURES), "features")
-    model = ClusterModel(list(numeric), list(factors), points[best], features, fit(points[best], whole),
-                         trials=[dict(p, betweenss=s) for p, s in zip(points, scores)])
-    return TrainingResult(model, None, "xval" if folds >= 2 else "valid", folds, valid, train)
+    def scaled(p: dict) -> bool:
+        return bool(p.get("standardize", True))
+
+    def shape(scale: bool) -> tuple[PipelineModel, DataFrame]:
+        made = feature_pipeline(numeric, factors, one_hot=True, missing_flags=False, scale=scale, centre=True).fit(train)
+        return made, stage(made.transform(whole).select(part, FEATURES), "features")
+
+    scalings = sorted({scaled(p) for p in points})
+    shapes = dict(zip(scalings, in_parallel([lambda s=s: shape(s) for s in scalings])))
+
+    def fit(params: dict, chosen: Column) -> KMeansModel:
+        return KMeans(featuresCol=FEATURES, k=int(params.get("k", 3)), seed=1,
+                      maxIter=int(params.get("max_iterations", 20))).fit(shapes[scaled(params)][1].where(chosen))
+
+    # the parts that are held out in turn; on a holdout part 1 alone
+    held = range(folds) if crossed else [1]
+    pairs = [(i, k) for i in range(len(points)) for k in held]
+    fitted = dict(zip(pairs, in_parallel([lambda i=i, k=k: fit(points[i], F.col(part) != k) for i, k in pairs])))
+    kind = "xval" if crossed else "valid"
+    totals, clusters = None, None
+    for s, (_, table) in shapes.items():
+        judged = [(k, kind, i, k if crossed else 0, fitted[i, k].clusterCenters()) for i, k in pairs if scaled(points[i]) == s]
+        t, c = quality_by_set(table, FEATURES, part, judged)
+        totals, clusters = (t, c) if totals is None else (totals.unionByName(t), clusters.unionByName(c))
+    totals = stage(totals, "quality")
+    between = {r["model"]: r["betweenss"] for r in totals.collect()}
+    scores = [between.get(i) for i in range(len(points))]
+    best = int(np.argmax([-np.inf if b is None else b for b in scores]))
+    features, table = shapes[scaled(points[best])]
+    predictor = fit(points[best], F.lit(True)) if crossed else fitted[best, 1]
+    centres = predictor.clusterCenters()
+    own, per = quality_by_set(table, FEATURES, part, [(k, "train", best, 0, centres) for k in (held if crossed else [0])])
+    winner = F.col("model") == best
+    model = ClusterModel(list(numeric), list(factors), points[best], features, predictor,
+                         trials=[dict(p, betweenss=None if b is None else b / len(held)) for p, b in zip(points, scores)])
+    sides = [whole.where(F.col(part) == 1).drop(part), train.drop(part)]
+    return TrainingResult(model, None, kind, folds, None if crossed else sides[0], sides[1],
+                          quality=own.unionByName(totals.where(winner)).drop("model"),
+                          clusters=per.unionByName(clusters.where(winner)).drop("model"))

@@ -188,10 +188,11 @@ def train(spark: SparkSession, prepared: Prepared, config: LearnConfig):
         result = training.train_kmeans(data.df, data.numeric, data.factors, keys, config.hparams,
                                        config.cv_k)
         properties = describe.properties_report(spark, result.model, data.df)
-        metrics = {}
+        metrics = {"quality_by_set": result.quality, "clusters_by_set": result.clusters}
         if result.holdout is not None:
-            totals, per = result.model.quality(result.holdout)
-            metrics = {"quality_valid": totals, "clusters_valid": per}
+            held = F.col("set") == "valid"
+            metrics |= {"quality_valid": result.quality.where(held).drop("set", "size"),
+                        "clusters_valid": result.clusters.where(held).drop("set", "fold")}
         return result.model, properties, metrics
 
     levels = label_levels(data.df, config.target_name)

@@ -94,6 +94,37 @@ def test_kmeans(spark, data, tmp_path):
     assert describe.cluster_centres(back, data).where("centre_std is null").count() == 0
 
 
+def test_kmeans_reports_all_sets(spark, data):
+    grid = {"k": [2, 4], "max_iterations": [5], "standardize": [True, False]}
+    for folds, held in ((3, "xval"), (1, "valid")):
+        result = training.train_kmeans(data, NUMERIC, FACTORS, ["id"], grid, folds)
+        sets = {r["set"]: r for r in result.quality.collect()}
+        assert set(sets) == {"train", held}
+        assert sets["train"]["size"] == result.train.count()
+        assert sets[held]["size"] == (1200 if folds == 3 else result.holdout.count())
+        whole = result.model.quality(result.train)[0].first()
+        assert sets["train"].totss == pytest.approx(whole.totss) and sets["train"].tot_withinss == pytest.approx(whole.tot_withinss)
+        if folds == 1:
+            other = result.model.quality(result.holdout)[0].first()
+            assert sets[held].betweenss == pytest.approx(other.betweenss)
+        within = {}
+        for r in result.clusters.collect():
+            within[r["set"]] = within.get(r["set"], 0) + r.withinss
+        assert within == pytest.approx({k: r.tot_withinss for k, r in sets.items()})
+        best = max(t["betweenss"] for t in result.model.trials)
+        assert best == pytest.approx(sets[held].betweenss / (3 if folds == 3 else 1))
+
+
+def test_quality_by_set_with_empty_clusters_and_folds(spark):
+    rows_ = training._assemble(spark.createDataFrame([(0, 0.0), (0, 2.0), (1, 10.0)], "part int, x double"), ["x"])
+    models = [(0, "a", 0, 0, [[1.0], [99.0]]), (1, "a", 0, 1, [[10.0]]), (2, "a", 0, 2, [[5.0]])]
+    totals, per = cluster.quality_by_set(rows_, training.FEATURES, "part", models)
+    assert rows(totals) == [("a", 0, 3, 2.0, 2.0, 0.0)]
+    assert rows(per, "fold", "cluster", "size", "withinss") == [(0, 0, 2, 2.0), (0, 1, 0, 0.0), (1, 0, 1, 0.0), (2, 0, 0, 0.0)]
+    totals, per = cluster.quality_by_set(rows_.limit(0), training.FEATURES, "part", models)
+    assert totals.count() == 0 and per.where("size > 0").count() == 0
+
+
 def test_collinear_columns_go(spark, data):
     twin = data.withColumn("c", F.col("b") * 2 + 1)
     result = training.train_classifier(twin, "y", ["b", "c"], [], "LR", ["id"], {"alpha": [0], "lambda": [0]}, 1)

@@ -584,3 +584,40 @@ ORACLES["cluster_totals"] = f"""WITH {_ASSIGNED},
 s AS (SELECT {_SS} AS totss, sum(d) AS tot_withinss FROM assigned)
 SELECT {r('totss / 1e9', 3)} AS totss, {r('tot_withinss / 1e9', 3)} AS tot_withinss,
        {r('(totss - tot_withinss) / 1e9', 3)} AS betweenss FROM s"""
+
+#: The seven centres for all rows; fold k of three has the first 7 - k of them for its own rows.
+_SETS = f"""parts AS (SELECT *, row_number() OVER () AS nth, ({hash_int(LINE_KEYS, 'fold')} % 3)::INTEGER AS part FROM lineitem),
+centre AS (
+  SELECT row_number() OVER (ORDER BY l_linenumber) - 1 AS k, {', '.join(
+      f'round(avg({c}), 4) + (row_number() OVER (ORDER BY l_linenumber) - 1) AS c_{c}' for c in LINE_NUMERIC)}
+  FROM lineitem GROUP BY l_linenumber),
+models AS (SELECT 'train' AS "set", 0 AS fold, p.part, centre.* FROM centre, (VALUES (0), (1), (2)) p(part)
+           UNION ALL SELECT 'xval', p.part, p.part, centre.* FROM centre, (VALUES (0), (1), (2)) p(part) WHERE k < 7 - p.part),
+near AS (SELECT "set", fold, nth, {', '.join(LINE_NUMERIC)}, arg_min(k, (d, k)) AS k, min(d) AS d
+         FROM (SELECT parts.*, "set", fold, k, {_DIST} AS d FROM parts JOIN models USING (part)) GROUP BY ALL)"""
+ORACLES["cluster_sets"] = f"""WITH {_SETS}
+SELECT m."set", m.fold, m.k::INTEGER AS cluster, count(near.k)::BIGINT AS size, {r('coalesce(sum(d), 0) / 1e9', 3)} AS withinss
+FROM (SELECT DISTINCT "set", fold, k FROM models) m LEFT JOIN near ON m."set" = near."set" AND m.fold = near.fold
+  AND m.k = near.k GROUP BY ALL"""
+ORACLES["cluster_set_totals"] = f"""WITH {_SETS},
+folds AS (SELECT "set", fold, count(*) AS n, {_SS} AS totss, sum(d) AS within FROM near GROUP BY ALL)
+SELECT "set", sum(n)::BIGINT AS size, {r('sum(totss) / 1e9', 3)} AS totss, {r('sum(within) / 1e9', 3)} AS tot_withinss,
+       {r('sum(totss - within) / 1e9', 3)} AS betweenss FROM folds GROUP BY 1"""
+
+
+def _kmeans_sets(folds: int, part: str, fitted: str, judged: str, held: str) -> str:
+    """Columns are scaled by the rows that train; a set is judged to the mean of each of its folds."""
+    scale = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in LINE_NUMERIC)
+    spread = " + ".join(f"var_pop(({c} - m_{c}) / s_{c}) * count(*)" for c in LINE_NUMERIC)
+    return f"""SELECT '{folds} ' || name AS "set", sum(n)::BIGINT AS size, sum(n)::BIGINT AS in_clusters,
+  {r('sum(ss) / sum(n)', 5)} AS totss_per_row, true AS adds_up
+FROM (SELECT 'train' AS name, 0 AS part, count(*) AS n, {spread} AS ss FROM ({part}) p, (SELECT {scale} FROM ({part}) q WHERE {fitted})
+      WHERE {fitted}
+      UNION ALL SELECT '{held}', part, count(*), {spread} FROM ({part}) p, (SELECT {scale} FROM ({part}) q WHERE {fitted})
+      WHERE {judged} GROUP BY part) GROUP BY name"""
+
+
+ORACLES["kmeans_sets"] = _kmeans_sets(
+    1, f"SELECT *, CASE WHEN {hash_int(LINE_KEYS, 'split')} / 4294967296.0::DOUBLE < 0.7::DOUBLE THEN 0 ELSE 1 END AS part "
+       "FROM lineitem", "part = 0", "part = 1", "valid") + " UNION ALL " + _kmeans_sets(
+    3, f"SELECT *, {hash_int(LINE_KEYS, 'fold')} % 3 AS part FROM lineitem", "true", "true", "xval")

@@ -688,6 +688,48 @@ def kmeans_properties(spark, d):
     return describe.cluster_centres(result.model, df)
 
 
+def _line_parts(spark, d) -> DataFrame:
+    """Line items as vectors, with the fold of the row."""
+    return training._assemble(table(spark, d, "lineitem").withColumn("part", sample.modulo_fold(LINE_KEYS, 3)), LINE_NUMERIC)
+
+
+def _judged(spark, d) -> list:
+    """A model of seven given centres for all rows, and one less centre a fold for its own rows."""
+    centres = _centres(spark, d)
+    return [(k, "train", 0, 0, centres) for k in range(3)] + [(k, "xval", 0, k, centres[:7 - k]) for k in range(3)]
+
+
+@query
+def cluster_sets(spark, d):
+    """Sizes and sums of squares of each cluster of several models, by set and fold."""
+    per = cluster.quality_by_set(_line_parts(spark, d), training.FEATURES, "part", _judged(spark, d))[1]
+    return rounded(per.select("set", "fold", "cluster", "size", (F.col("withinss") / F.lit(1e9)).alias("withinss")), 3)
+
+
+@query
+def cluster_set_totals(spark, d):
+    totals = cluster.quality_by_set(_line_parts(spark, d), training.FEATURES, "part", _judged(spark, d))[0]
+    sums = [(F.col(c) / F.lit(1e9)).alias(c) for c in ("totss", "tot_withinss", "betweenss")]
+    return rounded(totals.select("set", "size", *sums), 3)
+
+
+def _kmeans_sets(spark, d, folds: int) -> DataFrame:
+    df = table(spark, d, "lineitem").select(*LINE_NUMERIC, *LINE_KEYS)
+    result = training.train_kmeans(df, LINE_NUMERIC, [], LINE_KEYS,
+                                   {"k": [3, 5], "max_iterations": [5], "standardize": [True]}, folds)
+    sizes = result.clusters.groupBy("set").agg(F.sum("size").alias("in_clusters"), F.sum("withinss").alias("within"))
+    close = F.abs(F.col("within") - F.col("tot_withinss")) <= F.lit(1e-6) * F.col("totss")
+    return result.quality.join(sizes, "set").select(
+        F.concat(F.lit(f"{folds} "), F.col("set")).alias("set"), "size", "in_clusters",
+        F.round(F.col("totss") / F.col("size"), 5).alias("totss_per_row"), (close & (F.col("betweenss") > 0)).alias("adds_up"))
+
+
+@query
+def kmeans_sets(spark, d):
+    """Rows, rows in clusters and total sum of squares of the training, holdout and cross-validation sets."""
+    return _kmeans_sets(spark, d, 1).unionByName(_kmeans_sets(spark, d, 3))
+
+
 @query
 def variable_importance(spark, d):
     result = _train(spark, d, "RF", {"ntrees": [10], "max_depth": [5]}, 1)
