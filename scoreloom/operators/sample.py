@@ -3,22 +3,27 @@
 The hash of the seed and the key columns orders the rows, whatever their
 partitioning, so every operator gives the same rows on every run. Share-based
 operators are plain filters. Exact sizes need the n smallest hashes: counts per
-hash prefix find the prefix in which the n-th row lies, rows before it are taken
-by a filter, and only the rows of that one prefix (about 1 in 65,536) are ranked.
+hash prefix find the prefix in which the n-th row lies (the edge), rows before it
+are taken by a filter. While an edge has many rows, only they are counted again,
+some digits deeper; the rows of the last, small edge are ranked.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scoreloom.functions.columns import column, hash_int, hash_share, row_hash
 from scoreloom.functions.staging import stage
 
-PREFIX_DIGITS = 4
+#: Digits that the successive counts look at: 32 of the key's hash, then 32 of the whole row's, which tell
+#: rows of one key apart. A count has at most 65,536 prefixes a stratum, as 8 digits leave next to one hash.
+LEVELS = (4, 8, 32, 36, 40, 64)
+#: Rows of a stratum that one task ranks at most; full copies beyond count as one row.
+EDGE_ROWS = 100_000
 COPIES_PER_TASK_ROW = 10_000
 
 
@@ -62,46 +67,64 @@ def repeat_rows(df: DataFrame, times: Column) -> DataFrame:
 
 
 def lowest_hashes(df: DataFrame, wanted: Column, keys: Sequence[str], stream: str,
-                  strata: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+                  strata: Sequence[str] = (), edge_rows: int = EDGE_ROWS) -> tuple[DataFrame, DataFrame]:
     """The ``wanted`` rows of every stratum with the smallest row hashes, and the rest.
 
-    ``wanted`` may use ``stratum_rows``, the number of rows of the stratum.
-    Equal hashes are ordered by the whole row, full copies are interchangeable.
+    ``wanted`` may use ``stratum_rows``, the number of rows of the stratum. Rows with
+    equal hashes are ordered by the whole row, by its hash when they are more than
+    ``edge_rows``; full copies are interchangeable.
     """
     names = [column(c) for c in df.columns]
     groups = ["__s%d" % i for i in range(len(strata))] or ["__s0"]
     group_values = [column(s) for s in strata] or [F.lit(0)]
-    hashed = df.withColumn("__hash", row_hash(keys, stream))
-    hashed = hashed.withColumn("__prefix", F.substring("__hash", 1, PREFIX_DIGITS))
-    hashed = hashed.withColumns(dict(zip(groups, group_values)))
-
-    # at most 65,536 rows per stratum
-    counts = hashed.groupBy(*groups, "__prefix").agg(F.count(F.lit(1)).alias("n"))
-    up_to = W.partitionBy(*groups).orderBy("__prefix").rowsBetween(W.unboundedPreceding, W.currentRow)
-    limits = (counts.withColumn("stop", F.sum("n").over(up_to))
-              .withColumn("stratum_rows", F.sum("n").over(W.partitionBy(*groups)))
-              .withColumn("wanted", wanted.cast("bigint"))
-              .where((F.col("stop") > F.col("wanted")) & (F.col("stop") - F.col("n") <= F.col("wanted")))
-              .select(*[F.col(g).alias("l" + g) for g in groups], F.col("__prefix").alias("__edge"),
-                      (F.col("wanted") - (F.col("stop") - F.col("n"))).alias("__left")))
-    if strata:
-        # one row per stratum, staged so that its true size decides between a
-        # broadcast and a shuffled join; a stratum without a row is wanted whole
-        same = None
+    hashed = df.withColumn("__hash", row_hash(keys, stream)).withColumns(dict(zip(groups, group_values)))
+
+    def edges(rows: DataFrame, digits: int, wanted: Column, carried: Sequence[Column] = ()) -> DataFrame | Row | None:
+        """``l<group>, __edge, __left, __rows``: the prefix the last wanted row lies in, one row per stratum.
+
+        Without strata it is a single row, which becomes constants of the filters.
+        """
+        counts = rows.groupBy(*groups, F.substring("__hash", 1, digits).alias("__prefix")).agg(
+            F.count(F.lit(1)).alias("n"), *carried)
+        up_to = W.partitionBy(*groups).orderBy("__prefix").rowsBetween(W.unboundedPreceding, W.currentRow)
+        found = (counts.withColumn("stop", F.sum("n").over(up_to))
+                 .withColumn("stratum_rows", F.sum("n").over(W.partitionBy(*groups)))
+                 .withColumn("wanted", wanted.cast("bigint"))
+                 .where((F.col("stop") > F.col("wanted")) & (F.col("stop") - F.col("n") <= F.col("wanted")))
+                 .select(*[F.col(g).alias("l" + g) for g in groups], F.col("__prefix").alias("__edge"),
+                         (F.col("wanted") - (F.col("stop") - F.col("n"))).alias("__left"), F.col("n").alias("__rows")))
+        if not strata:
+            return found.first()
+        # staged, so that its true size decides between a broadcast and a shuffled join
+        return stage(found, "limits")
+
+    def marked(rows: DataFrame, limits: DataFrame | Row | None, how: str) -> DataFrame:
+        """The rows with the edge of their stratum; a stratum without one is wanted whole."""
+        if not strata:
+            edge, left = (limits["__edge"], limits["__left"]) if limits else (None, None)
+            return rows.withColumns({"__edge": F.lit(edge).cast("string"), "__left": F.lit(left).cast("bigint")})
+        same = F.lit(True)
         for g in groups:
-            term = F.col(g).eqNullSafe(F.col("l" + g))
-            same = term if same is None else same & term
-        marked = hashed.join(stage(limits, "limits"), same, "left").drop(*["l" + g for g in groups])
-    else:
-        # a single limit becomes a constant of the filter
-        limit = limits.first()
-        edge_at, left = (limit["__edge"], limit["__left"]) if limit else (None, None)
-        marked = hashed.withColumns({"__edge": F.lit(edge_at).cast("string"),
-                                     "__left": F.lit(left).cast("bigint")})
-    surely = F.col("__edge").isNull() | (F.col("__prefix") < F.col("__edge"))
-
-    edge = marked.where(F.col("__prefix") == F.col("__edge"))
-    distinct = edge.groupBy(*groups, "__hash", "__left", *names).agg(F.count(F.lit(1)).alias("__n"))
+            same = same & F.col(g).eqNullSafe(F.col("l" + g))
+        return rows.join(limits.drop("__rows"), same, how).drop(*["l" + g for g in groups])
+
+    limits = edges(hashed, LEVELS[0], wanted)
+    large = F.col("__rows") > edge_rows
+    for digits in LEVELS[1:]:
+        if limits is None or (limits.where(large).isEmpty() if strata else limits["__rows"] <= edge_rows):
+            break
+        if digits > 32 >= digits - 4:
+            hashed = hashed.withColumn("__hash", F.concat("__hash", row_hash(df.columns, stream)))
+        inside = marked(hashed, limits.where(large) if strata else limits, "inner")
+        deeper = edges(inside.where(F.col("__hash").startswith(F.col("__edge"))), digits,
+                       F.col("carried"), [F.max("__left").alias("carried")])
+        limits = limits.where(~large).unionByName(deeper) if strata else deeper
+
+    rows = marked(hashed, limits, "left")
+    at_edge = F.col("__hash").startswith(F.col("__edge"))
+    surely = F.col("__edge").isNull() | (F.col("__hash") < F.col("__edge"))
+
+    distinct = rows.where(at_edge).groupBy(*groups, "__hash", "__left", *names).agg(F.count(F.lit(1)).alias("__n"))
     before = (W.partitionBy(*groups).orderBy("__hash", *names)
               .rowsBetween(W.unboundedPreceding, -1))
     room = F.col("__left") - F.coalesce(F.sum("__n").over(before), F.lit(0))
@@ -110,10 +133,10 @@ def lowest_hashes(df: DataFrame, wanted: Column, keys: Sequence[str], stream: st
     def both(whole: Column, copies: Column) -> DataFrame:
         repeated = repeat_rows(dealt.select(*names, copies.alias("__copies")).where("__copies > 0"),
                                F.col("__copies"))
-        return marked.where(whole).select(*names).unionByName(repeated.select(*names))
+        return rows.where(whole).select(*names).unionByName(repeated.select(*names))
 
     return (both(surely, F.col("__take")),
-            both(F.col("__prefix") > F.col("__edge"), F.col("__n") - F.col("__take")))
+            both((F.col("__hash") > F.col("__edge")) & ~at_edge, F.col("__n") - F.col("__take")))
 
 
 def sample_n(df: DataFrame, rows: int, keys: Sequence[str], seed: int = 1) -> DataFrame:

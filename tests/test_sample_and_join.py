@@ -40,6 +40,38 @@ def test_full_copies_are_sampled_exactly(spark):
         assert chosen.where("v = 'hot'").count() + rest.where("v = 'hot'").count() == 30_000
 
 
+@pytest.mark.parametrize("strata", [[], ["g"]])
+def test_large_edges_are_cut_deeper(spark, monkeypatch, strata):
+    """A third of the rows share the key; no edge that is ranked has more than the rows allowed."""
+    df = (spark.range(9000).withColumn("key", F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")))
+          .withColumn("g", F.when(F.col("id") % 7 != 0, "big").when(F.col("id") % 2 == 0, "small")))
+    limits = []
+    keep = sample.stage
+    monkeypatch.setattr(sample, "stage", lambda t, label: limits.append(keep(t, label)) or limits[-1])
+    plain = sample.lowest_hashes(df, F.floor(F.col("stratum_rows") * 0.5), ["key"], "test", strata)
+    assert len(limits) == len(strata)
+    hot = df.where("key = -1").withColumn("h", sample.row_hash(["key"], "test")).first().h
+    hashed = df.withColumn("h", sample.row_hash(["key"], "test"))
+    rank = hashed.where(F.col("h") < hot).count()
+    for wanted in (1, rank - 1, rank + 5, rank + 1500, 8999):
+        limits.clear()
+        chosen, rest = sample.lowest_hashes(df, F.least(F.lit(wanted), F.col("stratum_rows")), ["key"], "test", strata, edge_rows=20)
+        a, b = ids(chosen), ids(rest)
+        assert sorted(a + b) == list(range(9000))
+        if not strata:
+            assert len(a) == wanted
+            # rows that no tie concerns are those with the smallest hashes
+            order = [r.id for r in hashed.where("key <> -1").orderBy("h").collect()]
+            kept = [i for i in a if i % 3]
+            assert sorted(kept) == sorted(order[:len(kept)])
+        elif wanted in (rank - 1, rank + 5):
+            assert len(limits) > 1 and limits[-1].where("__rows > 20").isEmpty()
+    whole = sample.lowest_hashes(df, F.floor(F.col("stratum_rows") * 0.5), ["key"], "test", strata, edge_rows=20)
+    per = [{r.g: r["count"] for r in t[0].groupBy("g").count().collect()} for t in (plain, whole)]
+    if strata:
+        assert per[0] == per[1] and set(per[0]) == {"big", "small", None}
+
+
 def test_repeat_rows_spreads_copies(spark):
     df = spark.createDataFrame([("a", 25_000), ("b", 3), ("c", 0)], "k string, n int")
     out = sample.repeat_rows(df.where("n > 0"), F.col("n"))
