@@ -4,7 +4,8 @@ Vectors get one more component that makes all norms equal, so that the largest i
 nearest point. Each curve looks at a few axes of a random rotation, shifted at random, and puts all
 vectors in the order of their Hilbert keys. The order is cut into ranges of about ``RANGE_ROWS``
 vectors; a query is compared with the ranges around its own key on every curve, the exact inner
-products of these windows are merged, and the best are kept.
+products of these windows are merged, and the best are kept. How wide the windows are is measured on
+a sample of the vectors, so that they are as narrow as the data allow for the recall asked for.
 """
 
 from __future__ import annotations
@@ -23,11 +24,13 @@ from scoreloom.llm.common import col, shuffle_partitions
 CURVES = 20
 AXES = 8
 BITS = 7
-#: Vectors in a range, and the share of all vectors that a query's window spans on each curve.
+#: Vectors in a range.
 RANGE_ROWS = 1024
-WINDOW_SHARE = 0.06
-#: Vectors that range borders and shifts are fitted on at most.
+#: Vectors that range borders, shifts and windows are fitted on at most (about; up to twice as many).
 SAMPLE = 20_000
+#: Share of the sample's nearest vectors that its windows must hold, and the sample's queries.
+RECALL = 0.95
+SAMPLE_QUERIES = 256
 #: Queries that meet a range in one task at most, on average.
 QUERY_ROWS = 4096
 SEED = 20
@@ -100,6 +103,31 @@ class Curves:
         self.borders = keys[(np.arange(1, ranges) * len(keys) // ranges)]
         return self
 
+    def window(self, vectors: np.ndarray, ids: np.ndarray, k: int, recall: float) -> float:
+        """The least share of a sample that windows must span to hold ``recall`` of its queries' ``k`` nearest.
+
+        The nearest of a query come from all products with the sample. Each lies so many places from the query
+        on its best curve; a quantile of these distances is half the window. In a larger table the nearest
+        vectors are nearer, so the same share holds no less.
+        """
+        n = len(vectors)
+        k = min(k, n - 1)
+        if k < 1:
+            return 1.0
+        asked = np.random.default_rng(SEED).permutation(n)[:SAMPLE_QUERIES]
+        scores = vectors[asked] @ vectors.T
+        scores[np.arange(len(asked)), asked] = -np.inf
+        top = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+        keys, own = self.keys(vectors, ids, False), self.keys(vectors[asked], ids[asked], True)
+        away = np.full(top.shape, n)
+        for c in range(self.curves):
+            order = np.argsort(keys[:, c])
+            place = np.empty(n, np.int64)
+            place[order] = np.arange(n)
+            at = np.searchsorted(keys[order, c], own[:, c])
+            away = np.minimum(away, np.abs(place[top] - at[:, None]))
+        return min(1.0, 2 * float(np.quantile(away, recall, method="higher")) / n)
+
     def ranges(self, vectors: np.ndarray, ids: np.ndarray, query: bool) -> np.ndarray:
         keys = self.keys(vectors, ids, query)
         return np.stack([np.searchsorted(self.borders[:, c], keys[:, c], side="right")
@@ -126,13 +154,16 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
-            curves: int = CURVES, window_share: float = WINDOW_SHARE) -> DataFrame:
+            curves: int = CURVES, recall: float = RECALL) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` found nearest of each row for which ``is_query`` holds.
 
     ``is_query`` is a column of ``vec_id``. Nearness is the inner product of the original vectors in
     double precision; ties go to the smaller id. A query's own row is no candidate. Equal vectors are
     searched once and stand in the index once, with their ``k + 1`` smallest ids, which is all that a
     result can hold, so any number of copies costs no more. An empty table gives an empty one.
+
+    ``recall`` sets the windows by :meth:`Curves.window`. Data without structure in many dimensions need wide
+    ones: there the work grows with queries times vectors, as no order along curves keeps neighbours together.
     """
     spark = vectors.sparkSession
     rows = stage(usable(vectors, id_col, vector_col), "vectors")
@@ -149,13 +180,15 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     askers = stage(classes.join(asked.select("cid").distinct(), "cid", "left_semi").select("cid", "vector"), "askers")
     n, n_asked = classes.count(), askers.count()
     ranges = max(1, -(-n // RANGE_ROWS))
-    reach = max(1, int(np.ceil(window_share * ranges / 2 - 0.5)))
     share = min(1.0, SAMPLE / max(n, 1))
     sample = (classes.where(F.xxhash64("cid") / F.lit(2.0 ** 64) + 0.5 <= share).limit(2 * SAMPLE)
               .select("cid", "vector").toPandas())
     if not n or not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    index = Curves(dims, norm, curves).fit(_stacked(sample["vector"]), sample["cid"].to_numpy(), ranges)
+    fitted, ids = _stacked(sample["vector"]), sample["cid"].to_numpy()
+    index = Curves(dims, norm, curves).fit(fitted, ids, ranges)
+    # a query lies in the middle of its own range on average, and meets at least the ranges beside it
+    reach = max(1, int(np.ceil(index.window(fitted, ids, k, recall) * ranges / 2 - 0.5)))
     chunks = max(1, -(-n_asked * (2 * reach + 1) // (ranges * QUERY_ROWS)))
 
     def dealt(query: bool):

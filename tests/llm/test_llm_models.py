@@ -143,6 +143,36 @@ def test_search_recall(spark, sf):
     assert hit / total >= 0.9
 
 
+def test_search_recall_over_many_ranges(spark):
+    """22,000 vectors in 22 ranges: the given ones with their components turned by 0 to 10 places."""
+    given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").where("embedding is not null")
+    turned = given.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(10)))).select(
+        (F.col("vec_id") * 11 + F.col("t")).alias("vec_id"),
+        F.expr("concat(slice(embedding, t + 1, size(embedding)), slice(embedding, 1, t))").alias("embedding"))
+    rows = {r.vec_id: np.array(r.embedding, float) for r in turned.collect()}
+    got = {}
+    for r in hilbert.nearest(turned, F.col("vec_id") % 200 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    ids, values = np.array(list(rows)), np.stack(list(rows.values()))
+    hit = []
+    for q in [i for i in rows if i % 200 == 0]:
+        scores = np.where(ids == q, -np.inf, values @ rows[q])
+        hit.append(len(got[q] & set(ids[np.argsort(-scores, kind="stable")[:20]])) / 20)
+    assert len(rows) >= 20_000 and len(hit) == 110 and np.mean(hit) >= 0.9
+
+
+def test_windows_are_as_narrow_as_the_data_allow():
+    rng = np.random.default_rng(3)
+    flat = rng.normal(size=(5000, 3)) @ rng.normal(size=(3, 32))
+    ids, shares = np.arange(5000), []
+    for values in (flat, rng.normal(size=(5000, 32))):
+        values = values / np.linalg.norm(values, axis=1)[:, None]
+        index = hilbert.Curves(32, 1.0).fit(values, ids, 5)
+        shares.append(index.window(values, ids, 20, 0.95))
+    assert shares[0] < 0.02 < shares[1]
+    assert hilbert.Curves(32, 1.0).fit(values[:1], ids[:1], 1).window(values[:1], ids[:1], 20, 0.95) == 1.0
+
+
 def test_search_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(i, [float(i % 7), 1.0, 2.0]) for i in range(60)] + [(60, None), (61, [0.0, 0.0, 0.0]), (62, [1.0, None, 2.0]),
