@@ -38,15 +38,26 @@ STOP_WORDS = ("the of and to in is that for with was are this der die das und de
 
 
 def measures(text: Column) -> dict[str, Column]:
-    """Plain statistics of a text, each one pass of a built-in function."""
+    """Plain statistics of a text; the arrays of its words and lines are made once and not kept."""
     whole = F.coalesce(text.cast("string"), F.lit(""))
+
+    def of_words(w: Column) -> Column:
+        # a blank at the begin or end of the text leaves an empty part there
+        ends = (w[0] == "").cast("int") + ((F.size(w) > 1) & (F.element_at(w, -1) == "")).cast("int")
+        return F.struct((F.size(w) - ends).alias("n"), F.size(F.array_distinct(w)).alias("spread"),
+                        F.size(F.array_intersect(w, F.array(*map(F.lit, STOP_WORDS)))).alias("stops"))
+
+    def of_lines(x: Column) -> Column:
+        return F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("spread"))
+
+    words = F.split(F.lower(whole), r"[\x20\x09-\x0D]+")
+    lines = F.filter(F.split(whole, "\n"), lambda x: x != "")
     return {"chars": F.length(whole),
-            "words": F.regexp_count(whole, F.lit(r"[^\x20\x09-\x0D]+")),
+            "words": F.transform(F.array(words), of_words)[0],
             "letters": F.regexp_count(whole, F.lit(r"\p{L}+")),
-            "marks": F.length(whole) - F.length(F.translate(whole, "#|*%$&!<>{}=+~^@", "")),
-            "capitals": F.length(whole) - F.length(F.translate(whole, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "")),
-            "spread": F.array_distinct(F.split(F.lower(whole), r"[\x20\x09-\x0D]+")),
-            "lines": F.filter(F.split(whole, "\n"), lambda x: x != "")}
+            "marks": F.regexp_count(whole, F.lit(r"[#|*%$&!<>{}=+~^@]")),
+            "capitals": F.regexp_count(whole, F.lit("[A-Z]")),
+            "lines": F.transform(F.array(lines), of_lines)[0]}
 
 
 def votes(df: DataFrame, text_col: str) -> DataFrame:
@@ -55,17 +66,18 @@ def votes(df: DataFrame, text_col: str) -> DataFrame:
     kept = df.columns
     df = df.withColumn("__m", F.explode(F.array(F.struct(*[v.alias(k) for k, v in found.items()]))))
     m = {k: F.col("__m")[k] for k in found}
-    words = F.greatest(m["words"], F.lit(1))
+    counted = m["words"]["n"]
+    words = F.greatest(counted, F.lit(1))
 
     def vote(good: Column, bad: Column) -> Column:
         return F.when(bad, BAD).when(good, GOOD).otherwise(NONE).cast("tinyint")
 
-    stops = F.size(F.array_intersect(m["spread"], F.array(*map(F.lit, STOP_WORDS))))
-    repeats = F.size(m["spread"]) / words
-    lines = F.size(F.array_distinct(m["lines"])) / F.greatest(F.size(m["lines"]), F.lit(1))
+    stops = m["words"]["stops"]
+    repeats = m["words"]["spread"] / words
+    lines = m["lines"]["spread"] / F.greatest(m["lines"]["n"], F.lit(1))
     marks, capitals = m["marks"] / words, m["capitals"] / F.greatest(m["chars"], F.lit(1))
     mean = m["chars"] / words
-    columns = [vote((m["words"] >= 50) & (m["words"] <= 20_000), m["words"] < 12),
+    columns = [vote((counted >= 50) & (counted <= 20_000), counted < 12),
                vote((mean >= 4) & (mean <= 9), (mean < 2.5) | (mean > 20)),
                vote(m["letters"] >= 0.95 * words, m["letters"] < 0.6 * words),
                vote(marks < 0.02, marks > 0.2),
