@@ -52,8 +52,8 @@ def model_summary(spark: SparkSession, model: TrainedModel | ClusterModel) -> Da
                 "number_of_level_rows": m.tables.levels.count()}
     elif model.algorithm == "KM":
         out |= {"number_of_clusters": len(m.clusterCenters())}
-        if m.hasSummary:
-            out["number_of_iterations"] = m.summary.numIter
+        if model.iterations is not None:
+            out["number_of_iterations"] = model.iterations
     return _rows(spark, [(k, str(v)) for k, v in out.items()], "property string, value string")
 
 

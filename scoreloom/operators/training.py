@@ -19,7 +19,7 @@ from pyspark.ml.classification import (
     GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel,
     MultilayerPerceptronClassificationModel, MultilayerPerceptronClassifier,
     RandomForestClassificationModel, RandomForestClassifier)
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.feature import (
     Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
     VectorSlicer)
@@ -37,6 +37,7 @@ from scoreloom.operators.bayes import (
 from scoreloom.operators.cluster import quality_by_set
 from scoreloom.operators.folds import FoldFits, fit_folds, in_parallel
 from scoreloom.operators.grids import combinations, default_folds, default_grid
+from scoreloom.operators.kmeans import Wanted, centres_model, fit_centres, pack
 from scoreloom.operators.sample import holdout, modulo_fold
 
 FEATURES = "__features"
@@ -353,6 +354,7 @@ class ClusterModel:
     predictor: KMeansModel
     algorithm: str = "KM"
     trials: list[dict] = field(default_factory=list)
+    iterations: int | None = None  # of the fit; not saved
 
     def assign(self, df: DataFrame) -> DataFrame:
         """The input columns, ``cluster`` and the squared distance to its centre."""
@@ -612,8 +614,8 @@ def train_kmeans(df: DataFrame, numeric: Sequence[str], factors: Sequence[str],
     """Grid search by the between-cluster sum of squares on held-out rows.
 
     Sums of squares can be compared only on one scale, so each scaling has one feature pipeline, fitted on all
-    training rows, and one staged feature table with the number of the fold; folds are filters of it. All
-    (point, fold) models are judged by one pass over a table. The result holds the winner's totals and clusters
+    training rows, and one staged feature table with the number of the fold. All (point, fold) models of a table
+    are fitted in the same passes over it and judged by one. The result holds the winner's totals and clusters
     of the sets ``train`` and ``xval`` or ``valid``.
     """
     used = list(dict.fromkeys([*numeric, *factors, *keys]))
@@ -639,23 +641,29 @@ def train_kmeans(df: DataFrame, numeric: Sequence[str], factors: Sequence[str],
 
     def shape(scale: bool) -> tuple[PipelineModel, DataFrame]:
         made = feature_pipeline(numeric, factors, one_hot=True, missing_flags=False, scale=scale, centre=True).fit(train)
-        return made, stage(made.transform(whole).select(part, FEATURES), "features")
+        return made, stage(pack(made.transform(whole), FEATURES, part), "features")
 
     scalings = sorted({scaled(p) for p in points})
     shapes = dict(zip(scalings, in_parallel([lambda s=s: shape(s) for s in scalings])))
 
-    def fit(params: dict, chosen: Column) -> KMeansModel:
-        return KMeans(featuresCol=FEATURES, k=int(params.get("k", 3)), seed=1,
-                      maxIter=int(params.get("max_iterations", 20))).fit(shapes[scaled(params)][1].where(chosen))
+    def fit(models: Sequence[tuple[int, int | None]]) -> dict:
+        """Centres of (point, part that is left out), all models of a scaling in the same passes."""
+        out = {}
+        for s, (_, table) in shapes.items():
+            chosen = [(i, k) for i, k in models if scaled(points[i]) == s]
+            wanted = [Wanted(frozenset(range(folds if crossed else 2)) - {k}, int(points[i].get("k", 3)),
+                             int(points[i].get("max_iterations", 20))) for i, k in chosen]
+            out |= dict(zip(chosen, fit_centres(table, FEATURES, part, wanted))) if chosen else {}
+        return out
 
     # the parts that are held out in turn; on a holdout part 1 alone
     held = range(folds) if crossed else [1]
     pairs = [(i, k) for i in range(len(points)) for k in held]
-    fitted = dict(zip(pairs, in_parallel([lambda i=i, k=k: fit(points[i], F.col(part) != k) for i, k in pairs])))
+    fitted = fit(pairs)
     kind = "xval" if crossed else "valid"
     totals, clusters = None, None
     for s, (_, table) in shapes.items():
-        judged = [(k, kind, i, k if crossed else 0, fitted[i, k].clusterCenters()) for i, k in pairs if scaled(points[i]) == s]
+        judged = [(k, kind, i, k if crossed else 0, fitted[i, k].centres) for i, k in pairs if scaled(points[i]) == s]
         t, c = quality_by_set(table, FEATURES, part, judged)
         totals, clusters = (t, c) if totals is None else (totals.unionByName(t), clusters.unionByName(c))
     totals = stage(totals, "quality")
@@ -663,12 +671,14 @@ def train_kmeans(df: DataFrame, numeric: Sequence[str], factors: Sequence[str],
     scores = [between.get(i) for i in range(len(points))]
     best = int(np.argmax([-np.inf if b is None else b for b in scores]))
     features, table = shapes[scaled(points[best])]
-    predictor = fit(points[best], F.lit(True)) if crossed else fitted[best, 1]
+    won = fit([(best, None)])[best, None] if crossed else fitted[best, 1]
+    predictor = centres_model(table, FEATURES, won.centres, int(points[best].get("k", 3)))
     centres = predictor.clusterCenters()
     own, per = quality_by_set(table, FEATURES, part, [(k, "train", best, 0, centres) for k in (held if crossed else [0])])
     winner = F.col("model") == best
     model = ClusterModel(list(numeric), list(factors), points[best], features, predictor,
-                         trials=[dict(p, betweenss=None if b is None else b / len(held)) for p, b in zip(points, scores)])
+                         trials=[dict(p, betweenss=None if b is None else b / len(held)) for p, b in zip(points, scores)],
+                         iterations=won.iterations)
     sides = [whole.where(F.col(part) == 1).drop(part), train.drop(part)]
     return TrainingResult(model, None, kind, folds, None if crossed else sides[0], sides[1],
                           quality=own.unionByName(totals.where(winner)).drop("model"),
