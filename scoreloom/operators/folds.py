@@ -62,7 +62,10 @@ def shape(prepare: Callable, rows: DataFrame, *others: DataFrame) -> tuple:
     made = prepare(rows)
     if made.features is None:
         return made, rows, *others
-    return made, *in_parallel([lambda t=t: stage(made.transform(t), "features") for t in (rows, *others)])
+    # some algorithms stage the features of their own rows to prepare
+    todo = others if made.shaped is not None else (rows, *others)
+    done = in_parallel([lambda t=t: stage(made.transform(t), "features") for t in todo])
+    return made, *([made.shaped] if made.shaped is not None else []), *done
 
 
 def fit_folds(splits: Sequence[tuple[DataFrame, DataFrame]], prepare: Callable, points: Sequence[dict],

@@ -41,6 +41,7 @@ from scoreloom.operators.kmeans import Wanted, centres_model, fit_centres, pack
 from scoreloom.operators.sample import holdout, modulo_fold
 
 FEATURES = "__features"
+FOLD = "__fold"
 CLASSIFIERS = ("DL", "LR", "GBM", "NB", "RF")
 # The driver holds a matrix of slots x slots doubles for the collinearity check, up to 288 MB; beyond it
 # the check is left out with a warning.
@@ -432,6 +433,7 @@ class _Prepared:
     features: PipelineModel | None
     estimator: Estimator
     width: int
+    shaped: DataFrame | None = None  # the rows it was made of, where their features are staged already
 
     def transform(self, df: DataFrame) -> DataFrame:
         if self.features is None:
@@ -461,15 +463,19 @@ def _prepare(algorithm: str, train: DataFrame, label: str, numeric, factors) ->
     levels = [len(a) + 1 for s in features.stages if hasattr(s, "labelsArray") for a in s.labelsArray]
     shaped = features.transform(train)
     width = shaped.schema[FEATURES].metadata["ml_attr"]["num_attrs"]
+    own = None
     if algorithm == "LR":
-        slots = independent_slots(shaped, width=width)
+        # read by the correlations and by every fit
+        own = stage(shaped.select(column(label), FEATURES), "features")
+        slots = independent_slots(own, width=width)
         if slots is not None:
             inner = features.stages[-1].setOutputCol("__wide")
             slicer = VectorSlicer(inputCol="__wide", outputCol=FEATURES, indices=slots)
             features = PipelineModel(stages=[*features.stages[:-1], inner, slicer])
+            own = slicer.transform(own.withColumnRenamed(FEATURES, "__wide")).select(column(label), FEATURES)
             width = len(slots)
     est = _estimator(algorithm, label, numeric, factors, max([32, *levels]), width)
-    return _Prepared(algorithm, label, numeric, factors, features, est, width)
+    return _Prepared(algorithm, label, numeric, factors, features, est, width, own)
 
 
 def _check(algorithm: str, known: Sequence[str]) -> None:
@@ -501,7 +507,10 @@ def train_classifier(df: DataFrame, label: str, numeric: Sequence[str], factors:
     """
     _check(algorithm, CLASSIFIERS)
     used = dict.fromkeys([*numeric, *factors, label, *keys])
-    whole = stage(df.select(*[column(c) for c in used]), "train")
+    known = df.select(*[column(c) for c in used])
+    if cv_k is not None and cv_k >= 2:
+        known = known.withColumn(FOLD, modulo_fold(keys, cv_k))  # hashed once, read by all folds
+    whole = stage(known, "train")
     rows = whole.count()
     folds = default_folds(algorithm, rows) if cv_k is None else cv_k
     points = combinations(hparams or default_grid(algorithm, rows))
@@ -524,12 +533,13 @@ def train_classifier(df: DataFrame, label: str, numeric: Sequence[str], factors:
     model = TrainedModel(algorithm, list(numeric), list(factors), points[best], prepared.features, predictor, levels,
                          trials=[dict(p, auc=a) for p, a in zip(points, fits.auc)])
     evaluation = fits.evaluation(best)
-    return TrainingResult(model, evaluation if kind == "xval" else evaluation.drop("fold"), kind, folds, valid, train)
+    return TrainingResult(model, evaluation if kind == "xval" else evaluation.drop("fold"), kind, folds, valid,
+                          train.drop(FOLD))
 
 
 def fold_splits(rows: DataFrame, keys: Sequence[str], folds: int) -> list[tuple[DataFrame, DataFrame]]:
-    """(the other folds' rows, the fold's rows) for each fold of the keys' hash."""
-    own = modulo_fold(keys, folds)
+    """(the other folds' rows, the fold's rows) for each fold of the keys' hash, or of the stored fold."""
+    own = F.col(FOLD) if FOLD in rows.columns else modulo_fold(keys, folds)
     return [(rows.where(own != k), rows.where(own == k)) for k in range(folds)]
 
 
